@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Unicode blanks other than the plain space. Java's plain \s covers ASCII only and would
+# lose the no-break space.
+_RARE_BLANKS = (
+    r"[\t\n\x0B\f\r\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+# The frequent characters come first and the rare blanks are a nested class, so that most characters are
+# settled by the first few tests of the class.
+_KEPT = r"a-z0-9._\-"
+_UNWANTED = rf"[^{_KEPT} {_RARE_BLANKS}]+"
+# Once unwanted characters are gone, whatever is not kept is a blank. A lone space stays as it is.
+_LOOSE_BLANKS = rf" [^{_KEPT}]+|[^{_KEPT} ][^{_KEPT}]*"
+_OUTER_BLANKS = rf"^[ {_RARE_BLANKS}]+|[ {_RARE_BLANKS}]+$"
 
-def clean_text(col: Column) -> Column:
-    """Lower case, keep letters, digits, blanks and ``. _ -``, collapse blanks, trim.
 
-    ``(?U)`` makes ``\\s`` cover Unicode blanks such as the no-break space. Java's plain ``\\s`` is
-    ASCII only and would delete them.
-    """
-    kept = F.regexp_replace(F.lower(col), r"(?U)[^a-z0-9\s._-]", "")
-    return F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
+def clean_text(col: Column) -> Column:
+    """Lower case, keep letters, digits, blanks and ``. _ -``, collapse blanks, trim."""
+    kept = F.regexp_replace(F.lower(col), _UNWANTED, "")
+    return F.trim(F.regexp_replace(kept, _LOOSE_BLANKS, " "))
 
 
 def clean_profile(col: Column) -> Column:
     """Lower case without the ``.json`` suffix and underscores."""
     plain = F.replace(F.replace(F.lower(col), F.lit(".json"), F.lit("")), F.lit("_"), F.lit(""))
-    return F.regexp_replace(plain, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(plain, _OUTER_BLANKS, "")
 
 
 def clean_ssn(col: Column) -> Column:

@@ -7,17 +7,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.dates import age_years, parse_date
+from riskloom.functions.dates import age_years, date_column
 from riskloom.functions.numbers import safe_ratio
 from riskloom.operators.ordered import quantiles
 from riskloom.schema import DEDUP_KEY, DROPPED, LABEL, ROW_ID
+from riskloom.session import write_table
 
 MULTIPLIERS = (1.5, 2.0, 3.0)
 
 
-def same_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
-    """Equality of several columns in which null equals null."""
-    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in key])
+def repeated_keys(
+    df: DataFrame, key: Sequence[str] = DEDUP_KEY, order_by: str = ROW_ID
+) -> DataFrame:
+    """The keys that occur more than once, with the smallest ``order_by`` of each.
+
+    Copies are counted with a map-side partial aggregate over the key columns only, so a key held by a
+    third of all rows sends one row per task.
+    """
+    return (
+        df.groupBy(*key)
+        .agg(F.min(order_by).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .filter(F.col("_copies") > 1)
+        .drop("_copies")
+    )
 
 
 def drop_duplicates_keep_first(
@@ -25,20 +37,13 @@ def drop_duplicates_keep_first(
 ) -> DataFrame:
     """Keep, per key, the row with the smallest ``order_by`` (unique per row). Null equals null.
 
-    Copies are counted with a map-side partial aggregate, so a key held by a third of all rows sends
-    one row per task. The wide rows meet only the keys that really repeat: that table is broadcast
-    when small, otherwise the join shuffles and adaptive execution splits a hot key.
+    The repeated keys are written first. Their size is then known: few of them are broadcast and the
+    wide rows stay where they are; many of them are joined by a shuffle in which adaptive execution
+    splits a hot key.
     """
-    keys = list(key)
-    repeated = (
-        df.groupBy(*keys)
-        .agg(F.min(order_by).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-    )
-    marked = repeated.select(*[F.col(c).alias(f"_key_{c}") for c in keys], "_first")
-    matches = reduce(
-        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
-    )
+    repeated = write_table(repeated_keys(df, key, order_by), "repeated-keys")
+    marked = repeated.select(*[F.col(c).alias(f"_key_{c}") for c in key], "_first")
+    matches = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key])
     return (
         df.join(marked, matches, "left")
         .filter(F.col("_first").isNull() | (F.col(order_by) == F.col("_first")))
@@ -62,9 +67,9 @@ def add_age(df: DataFrame) -> DataFrame:
     """Age at the transaction; null when a date is missing or malformed."""
     if "dob" not in df.columns or "trans_date" not in df.columns:
         return df
-    on = parse_date(F.col("trans_date").cast("string"))
-    born = parse_date(F.col("dob").cast("string"))
-    return df.withColumn("age", age_years(on, born))
+    return df.withColumn(
+        "age", age_years(date_column(df, "trans_date"), date_column(df, "dob"))
+    )
 
 
 def median_valid_age(df: DataFrame) -> DataFrame:

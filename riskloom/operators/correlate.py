@@ -11,59 +11,90 @@ from riskloom.operators.distribution import even_bins
 from riskloom.schema import LABEL
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Tall ``(feature1, feature2, correlation)``, one row per unordered pair, from one aggregate.
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Tall ``(feature1, feature2, correlation)`` for the given column pairs.
 
-    Each pair uses the rows where both values are known. A constant column gives null. The sums behind
-    it merge stably across partitions.
+    Each pair uses the rows where both values are known; a constant column gives null. Rows are grouped
+    by which columns are known, a handful of groups, and each group keeps plain sums of products of the
+    centred values. That is one pass with one cheap sum per pair, whatever nulls there are.
     """
-    pairs = list(combinations(columns, 2))
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        aggs += [
-            F.regr_sxy(y, x).alias(f"_xy{i}"),
-            F.regr_sxx(y, x).alias(f"_xx{i}"),
-            F.regr_syy(y, x).alias(f"_yy{i}"),
-        ]
-    lines = [
-        F.struct(
-            F.lit(a).alias("feature1"),
-            F.lit(b).alias("feature2"),
-            F.try_divide(F.col(f"_xy{i}"), F.sqrt(F.col(f"_xx{i}") * F.col(f"_yy{i}"))).alias(
-                "correlation"
-            ),
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = {c: i for i, c in enumerate(names)}
+    every = range(len(names))
+    values = df.selectExpr(*[f"cast(`{c}` AS double) AS x{at[c]}" for c in names])
+    means = values.select(F.expr(f"array({', '.join(f'avg(x{i})' for i in every)})")).scalar()
+    centred = values.withColumn("_mean", means).selectExpr(
+        f"array({', '.join(f'x{i} IS NOT NULL' for i in every)}) AS _known",
+        *[f"coalesce(x{i} - _mean[{i}], 0D) AS d{i}" for i in every],
+    )
+    products = list(
+        dict.fromkeys(
+            key
+            for a, b in pairs
+            for key in ((at[a], at[b]), (at[a], at[a]), (at[b], at[b]))
+        )
+    )
+    place = {key: i for i, key in enumerate(products)}
+    sums = centred.groupBy("_known").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.expr(f"array({', '.join(f'sum(d{i})' for i in every)})").alias("_s"),
+        F.expr(f"array({', '.join(f'sum(d{i} * d{j})' for i, j in products)})").alias("_p"),
+    )
+    # name and position of the columns and of their three products, one entry per pair
+    lookup = ", ".join(
+        f"named_struct('feature1', '{a}', 'feature2', '{b}', 'i', {at[a]}, 'j', {at[b]}, "
+        f"'ij', {place[at[a], at[b]]}, 'ii', {place[at[a], at[a]]}, 'jj', {place[at[b], at[b]]})"
+        for a, b in pairs
+    )
+    per_pair = (
+        sums.selectExpr("*", f"inline(array({lookup}))")
+        .filter("_known[i] AND _known[j]")
+        .groupBy("feature1", "feature2")
+        .agg(
+            F.sum("_n").alias("n"),
+            F.expr("sum(_s[i])").alias("sx"),
+            F.expr("sum(_s[j])").alias("sy"),
+            F.expr("sum(_p[ii])").alias("sxx"),
+            F.expr("sum(_p[jj])").alias("syy"),
+            F.expr("sum(_p[ij])").alias("sxy"),
         )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*lines)))
+        .selectExpr(
+            "feature1",
+            "feature2",
+            """try_divide(sxy - sx * sy / n,
+                 sqrt(greatest((sxx - sx * sx / n) * (syy - sy * sy / n), 0D))) AS correlation""",
+        )
+    )
+    # a pair without any common row still gets its line
+    listed = df.sparkSession.range(1).selectExpr(f"inline(array({lookup}))")
+    return listed.select("feature1", "feature2").join(per_pair, ["feature1", "feature2"], "left")
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Correlation of every unordered pair of columns."""
+    return pair_correlations(df, list(combinations(columns, 2)))
 
 
 def target_correlations(
     df: DataFrame, columns: Sequence[str], label: str = LABEL
 ) -> DataFrame:
     """Correlation of each feature with the label, strongest first, with rank per sign."""
-    features = [c for c in columns if c != label]
-    aggs, lines = [], []
-    y = F.col(label).cast("double")
-    for i, name in enumerate(features):
-        x = F.col(name).cast("double")
-        aggs += [
-            F.regr_sxy(y, x).alias(f"_xy{i}"),
-            F.regr_sxx(y, x).alias(f"_xx{i}"),
-            F.regr_syy(y, x).alias(f"_yy{i}"),
-        ]
-        ratio = F.try_divide(F.col(f"_xy{i}"), F.sqrt(F.col(f"_xx{i}") * F.col(f"_yy{i}")))
-        lines.append(F.struct(F.lit(name).alias("feature"), ratio.alias("correlation")))
-    found = df.agg(*aggs).select(F.inline(F.array(*lines))).filter(F.col("correlation").isNotNull())
+    pairs = [(c, label) for c in columns if c != label]
+    found = (
+        pair_correlations(df, pairs)
+        .filter(F.col("correlation").isNotNull())
+        .select(F.col("feature1").alias("feature"), "correlation")
+    )
     sign = F.when(F.col("correlation") > 0, "positive").when(F.col("correlation") < 0, "negative")
     # one row per feature column
-    per_sign = Window.partitionBy("direction").orderBy(F.desc("abs_correlation"), "feature")
+    # differences below 1e-9 are rounding noise of the sums and count as ties
+    size = F.round("abs_correlation", 9)
+    per_sign = Window.partitionBy("direction").orderBy(size.desc(), "feature")
     return (
         found.withColumn("abs_correlation", F.abs("correlation"))
         .withColumn("direction", F.coalesce(sign, F.lit("none")))
         .withColumn("direction_rank", F.row_number().over(per_sign))
-        .orderBy(F.desc("abs_correlation"), "feature")
+        .orderBy(size.desc(), "feature")
     )
 
 

@@ -46,14 +46,12 @@ def collect_vocabulary(vocabulary: DataFrame, max_values: int = 1000) -> dict[st
 
 def onehot_encode(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> DataFrame:
     """One 0/1 column per known value in place of the source column. Null and unseen values give zeros."""
-    made = {
-        f"{name}_{value}": F.coalesce((F.col(name).cast("string") == value).cast("int"), F.lit(0))
-        for name, values in vocabulary.items()
-        if name in df.columns
-        for value in values
-    }
-    kept = [c for c in df.columns if c not in vocabulary]
-    return df.select(*kept, *[col.alias(name) for name, col in made.items()])
+    pairs = [(c, v) for c, values in vocabulary.items() if c in df.columns for v in values]
+    columns = df.columns
+    made = [
+        F.equal_null(F.col(c).cast("string"), F.lit(v)).cast("int").alias(f"{c}_{v}") for c, v in pairs
+    ]
+    return df.select(*[c for c in columns if c not in vocabulary], *made)
 
 
 def label_vocabulary(df: DataFrame, columns: Sequence[str] = LABEL_CODED) -> DataFrame:

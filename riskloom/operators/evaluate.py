@@ -58,36 +58,51 @@ def class_metrics(matrix: DataFrame) -> DataFrame:
 
 
 def business_metrics(matrix: DataFrame) -> DataFrame:
-    """Caught and missed positives, false alarms and both rates in percent."""
+    """Add caught and missed positives, false alarms and both rates in percent."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    kept = [c for c in matrix.columns if c not in ("tn", "fp", "fn", "tp")]
-    return matrix.select(
-        *kept,
-        tp.alias("fraud_caught"),
-        fn.alias("fraud_missed"),
-        (safe_ratio(tp, tp + fn) * 100).alias("fraud_detection_rate"),
-        fp.alias("false_alarms"),
-        (safe_ratio(fp, fp + tn) * 100).alias("false_alarm_rate"),
+    return matrix.withColumns(
+        {
+            "fraud_caught": tp,
+            "fraud_missed": fn,
+            "fraud_detection_rate": safe_ratio(tp, tp + fn) * 100,
+            "false_alarms": fp,
+            "false_alarm_rate": safe_ratio(fp, fp + tn) * 100,
+        }
     )
 
 
-def roc_auc(
-    scored: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score"
+def score_counts(
+    scored: DataFrame,
+    by: Sequence[str] = (),
+    label: str = "label",
+    score: str = "score",
+    pred: str = "pred",
 ) -> DataFrame:
-    """Exact area under the ROC curve: the share of (positive, negative) pairs in the right order,
-    ties counting half. Null when a class is missing.
-
-    Equal scores collapse before the shuffle; the ranking runs in score bins, never in one task.
-    """
-    per_score = scored.groupBy(*by, F.col(score).alias("_score")).agg(
+    """Positives and negatives per distinct score. Equal scores collapse before the shuffle."""
+    keys = [F.col(score).alias("_score"), F.col(pred).alias("_pred")] if pred else [
+        F.col(score).alias("_score")
+    ]
+    return scored.groupBy(*by, *keys).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
+
+
+def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """ROC-AUC from ``score_counts``; the ranking runs in score bins, never in one task."""
     ranked = running_totals(
-        per_score, ["_neg"], {"_bin": magnitude_bin(F.col("_score"))}, ["_score"], by
+        counts, ["_neg"], {"_bin": magnitude_bin(F.col("_score"))}, ["_score"], by
     )
-    wins = F.col("_pos") * (F.col("_neg_before").cast("double") + F.col("_neg") / 2)
-    pairs = F.sum("_pos").cast("double") * F.sum("_neg")
-    return ranked.groupBy(*by).agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
+    wins = F.expr("sum(_pos * (cast(_neg_before AS double) + _neg / 2D))")
+    pairs = F.expr("cast(sum(_pos) AS double) * sum(_neg)")
+    return ranked.groupBy(*by).agg(F.try_divide(wins, pairs).alias("roc_auc"))
+
+
+def roc_auc(
+    scored: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score"
+) -> DataFrame:
+    """Exact area under the ROC curve: the share of (positive, negative) pairs in the right order,
+    ties counting half. Null when a class is missing."""
+    return _auc(score_counts(scored, by, label, score, pred=""), by)
 
 
 def metrics_table(
@@ -97,13 +112,25 @@ def metrics_table(
     score: str = "score",
     pred: str = "pred",
 ) -> DataFrame:
-    """Class metrics and ROC-AUC per group."""
-    table = class_metrics(confusion(scored, by, label, pred))
-    auc = roc_auc(scored, by, label, score)
+    """Class metrics and ROC-AUC per group.
+
+    Both come from the same counts per score, so the rows are scored and read once.
+    """
+    counts = score_counts(scored, by, label, score, pred)
+    matrix = counts.groupBy(*by).agg(
+        F.expr("coalesce(sum(if(_pred = 0, _neg, 0)), 0)").alias("tn"),
+        F.expr("coalesce(sum(if(_pred = 1, _neg, 0)), 0)").alias("fp"),
+        F.expr("coalesce(sum(if(_pred = 0, _pos, 0)), 0)").alias("fn"),
+        F.expr("coalesce(sum(if(_pred = 1, _pos, 0)), 0)").alias("tp"),
+    )
+    per_score = counts.groupBy(*by, "_score").agg(
+        F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")
+    )
+    auc = _auc(per_score, by)
     if by:
         # one row per group
-        return table.join(F.broadcast(auc), list(by), "left")
-    return table.withColumn("roc_auc", auc.scalar())
+        return class_metrics(matrix).join(F.broadcast(auc), list(by), "left")
+    return class_metrics(matrix).withColumn("roc_auc", auc.scalar())
 
 
 def threshold_counts(

@@ -88,52 +88,41 @@ def histogram_quantiles(
     upto = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     per_bin = (
         binned.groupBy(*group, "_bin")
-        .agg(F.sum("n").alias("_bin_n"))
-        .select(
-            *group,
-            "_bin",
-            (F.sum("_bin_n").over(upto) - F.col("_bin_n")).alias("_start"),
-            F.sum("_bin_n").over(upto).alias("_end"),
-            F.sum("_bin_n").over(whole).alias("_total"),
-        )
+        .agg(F.sum("n").alias("_n"))
+        .withColumn("_end", F.sum("_n").over(upto))
+        .withColumn("_total", F.sum("_n").over(whole))
+        .withColumn("_start", F.expr("_end - _n"))
     )
-
-    def spot(p: float) -> Column:
-        return (F.col("_total") - 1) * F.lit(float(p))
-
-    ends = [(p, edge(spot(p)).cast("long")) for p in probs for edge in (F.floor, F.ceil)]
-
-    def covers(start: Column, end: Column) -> Column:
-        hit = F.lit(False)
-        for _, position in ends:
-            hit = hit | ((start <= position) & (position < end))
-        return hit
-
-    opened = per_bin.filter(covers(F.col("_start"), F.col("_end")))
+    # quantile p stands at position (total - 1) * p, between its floor and its ceiling
+    spots = {quantile_name(p): f"((_total - 1) * {float(p)}D)" for p in probs}
+    ends = [f"cast({edge}({at}) AS bigint)" for at in spots.values() for edge in ("floor", "ceil")]
+    hit = " OR ".join(f"(_start <= {end} AND {end} < _end)" for end in ends)
+    opened = per_bin.filter(hit).select(*group, "_bin", "_start", "_total")
     inside = Window.partitionBy(*group, "_bin").orderBy("value")
-    upto_value = inside.rowsBetween(Window.unboundedPreceding, 0)
-    placed = binned.join(F.broadcast(opened), [*group, "_bin"]).select(
-        *group,
-        "value",
-        "_total",
-        (F.col("_start") + F.sum("n").over(upto_value) - F.col("n")).alias("_from"),
-        (F.col("_start") + F.sum("n").over(upto_value)).alias("_to"),
+    placed = (
+        binned.join(F.broadcast(opened), [*group, "_bin"])
+        .withColumn("_to", F.col("_start") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_from", F.expr("_to - n"))
     )
 
-    def value_at(position: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= position) & (position < F.col("_to")), F.col("value")))
+    def value_at(end: str) -> str:
+        return f"max(if(_from <= {end} AND {end} < _to, value, NULL))"
 
     picked = placed.groupBy(*group).agg(
         F.max("_total").alias("_total"),
-        *[value_at(F.floor(spot(p)).cast("long")).alias(f"_{quantile_name(p)}_lo") for p in probs],
-        *[value_at(F.ceil(spot(p)).cast("long")).alias(f"_{quantile_name(p)}_hi") for p in probs],
+        *[
+            F.expr(value_at(f"cast({edge}({at}) AS bigint)")).alias(f"_{edge}_{name}")
+            for name, at in spots.items()
+            for edge in ("floor", "ceil")
+        ],
+    )
+    return picked.selectExpr(
+        *group,
+        *[
+            f"_floor_{q} + (_ceil_{q} - _floor_{q}) * ({at} - floor({at})) AS {q}"
+            for q, at in spots.items()
+        ],
     )
-
-    def blend(p: float) -> Column:
-        low, high = F.col(f"_{quantile_name(p)}_lo"), F.col(f"_{quantile_name(p)}_hi")
-        return low + (high - low) * (spot(p) - F.floor(spot(p)))
-
-    return picked.select(*group, *[blend(p).alias(quantile_name(p)) for p in probs])
 
 
 def quantiles(

@@ -7,11 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.functions.dates import parse_date, parse_hour, weekday_name
+from riskloom.functions.dates import date_column, parse_hour, weekday_name
 from riskloom.functions.geo import valid_point
 from riskloom.functions.numbers import round_half_even, safe_ratio
 from riskloom.functions.text import clean_profile, clean_ssn, clean_text
 from riskloom.schema import NOT_TEXT, REDUCED
+from riskloom.session import write_table
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -59,6 +60,12 @@ def top_values(df: DataFrame, columns: Iterable[str] = REDUCED, top_n: int = 50)
     )
 
 
+def fit_top_values(df: DataFrame, columns: Iterable[str] = REDUCED, top_n: int = 50) -> DataFrame:
+    """The kept values as a written table, so that the rows are counted once and later rows can be
+    reduced with the same list."""
+    return write_table(top_values(df, columns, top_n), "top-values")
+
+
 def reduce_categories(df: DataFrame, kept: DataFrame, columns: Iterable[str] = REDUCED) -> DataFrame:
     """Replace values outside ``kept`` (a ``top_values`` table) by ``'other'``; null becomes ``'other'``.
 
@@ -95,8 +102,7 @@ def add_date_parts(df: DataFrame) -> DataFrame:
     """Year, month, day and weekday name of ``trans_date``, which becomes a date."""
     if "trans_date" not in df.columns:
         return df
-    day = parse_date(F.col("trans_date").cast("string"))
-    return df.withColumn("trans_date", day).withColumns(
+    return df.withColumn("trans_date", date_column(df, "trans_date")).withColumns(
         {
             "trans_year": F.year("trans_date"),
             "trans_month": F.month("trans_date"),
@@ -131,7 +137,7 @@ def transform_audit(df: DataFrame) -> DataFrame:
     points = valid_point(F.col("lat"), F.col("long"))
     if "merch_lat" in df.columns and "merch_long" in df.columns:
         points = points & valid_point(F.col("merch_lat"), F.col("merch_long"))
-    bad_date = date.isNotNull() & parse_date(date.cast("string")).isNull()
+    bad_date = date.isNotNull() & date_column(df, "trans_date").isNull()
     bad_time = time.isNotNull() & parse_hour(time).isNull()
     counted = df.agg(
         F.count(F.lit(1)).alias("rows_in"),

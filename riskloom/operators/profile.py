@@ -50,52 +50,47 @@ def overview(df: DataFrame) -> DataFrame:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """Columns with nulls: count, share in percent, type; most missing first. One pass over the rows."""
-    counts = [F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_{i}") for i, f in enumerate(df.schema)]
-    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
-    lines = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.col(f"_{i}").alias("missing_count"),
-            round_half_even(safe_ratio(F.col(f"_{i}"), F.col("_rows")) * 100, 2).alias(
-                "missing_percent"
-            ),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-        )
-        for i, f in enumerate(df.schema)
-    ]
+    fields = list(enumerate(df.schema))
+    counted = df.selectExpr(
+        "count(1) AS _rows", *[f"count_if(`{f.name}` IS NULL) AS _{i}" for i, f in fields]
+    )
+    lines = ", ".join(
+        f"named_struct('column', '{f.name}', 'missing_count', _{i}, 'data_type', "
+        f"'{f.dataType.simpleString()}')"
+        for i, f in fields
+    )
     return (
-        _tall(counted, lines)
+        counted.selectExpr("_rows", f"inline(array({lines}))")
         .filter(F.col("missing_count") > 0)
+        .withColumn(
+            "missing_percent",
+            round_half_even(safe_ratio(F.col("missing_count"), F.col("_rows")) * 100, 2),
+        )
+        .drop("_rows")
         .orderBy(F.desc("missing_count"), "column")
     )
 
 
 def _moments(df: DataFrame, columns: Sequence[str], ddof: int) -> DataFrame:
     """Tall count, mean, deviation, extremes and nulls of several columns from one aggregate."""
-    deviation = F.stddev_pop if ddof == 0 else F.stddev_samp
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, name in enumerate(columns):
-        col = F.col(name).cast("double")
-        aggs += [
-            F.count(name).alias(f"_n{i}"),
-            F.avg(col).alias(f"_mean{i}"),
-            deviation(col).alias(f"_std{i}"),
-            F.min(col).alias(f"_min{i}"),
-            F.max(col).alias(f"_max{i}"),
-        ]
-    lines = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"_n{i}").alias("count"),
-            *[
-                round_half_even(F.col(f"_{m}{i}"), 2).alias(m)
-                for m in ("mean", "std", "min", "max")
-            ],
-            (F.col("_rows") - F.col(f"_n{i}")).alias("missing"),
-        )
-        for i, name in enumerate(columns)
-    ]
-    return _tall(df.agg(*aggs), lines)
+    deviation = "stddev_pop" if ddof == 0 else "stddev_samp"
+    numbered = list(enumerate(columns))
+    counted = df.selectExpr(
+        "count(1) AS _rows",
+        *[
+            f"""named_struct('column', '{c}', 'count', count(`{c}`),
+                'mean', avg(cast(`{c}` AS double)), 'std', {deviation}(cast(`{c}` AS double)),
+                'min', min(cast(`{c}` AS double)), 'max', max(cast(`{c}` AS double))) AS _{i}"""
+            for i, c in numbered
+        ],
+    )
+    tall = counted.selectExpr("_rows", f"inline(array({', '.join(f'_{i}' for i, _ in numbered)}))")
+    return tall.select(
+        "column",
+        "count",
+        *[round_half_even(F.col(m), 2).alias(m) for m in ("mean", "std", "min", "max")],
+        (F.col("_rows") - F.col("count")).alias("missing"),
+    )
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, ddof: int = 0) -> DataFrame:

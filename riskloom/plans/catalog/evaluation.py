@@ -117,7 +117,9 @@ def classification_metrics(spark, sf):
     ),
 )
 def business_metrics(spark, sf):
-    return evaluate.business_metrics(evaluate.confusion(scored_rows(spark, sf)))
+    return evaluate.business_metrics(evaluate.confusion(scored_rows(spark, sf))).drop(
+        "tn", "fp", "fn", "tp"
+    )
 
 
 @query("roc_auc", oracle(f"SELECT {r6('roc_auc')} AS roc_auc FROM ({auc_sql('scored')})", "scored"))
@@ -264,11 +266,8 @@ _PAIRED = " UNION ALL ".join(
 )
 def generalisation_check(spark, sf):
     """The rule's metrics on one part of the rows against those on the other part."""
-    parts = _parts(spark, sf)
-    return validate.compare_metrics(
-        evaluate.metrics_table(parts.filter(F.col("split") == "train")),
-        evaluate.metrics_table(parts.filter(F.col("split") == "test")),
-    )
+    metrics = evaluate.metrics_table(_parts(spark, sf), ["split"])
+    return validate.compare_metrics(metrics, "split", test="train", unseen="test")
 
 
 # ---- importance
@@ -283,34 +282,44 @@ _KEEP = 6
 
 
 def data_importances(spark, sf):
-    """Three importance measures per feature, each from the whole table in one aggregate."""
-    rows = feature_rows(spark, sf, ["city_pop"])
-    y = F.col("is_fraud")
-    aggs, lines = [], []
-    for i, name in enumerate(_FEATURES):
-        x = F.col(name).cast("double")
-        fraud, legit = F.when(y == 1, x), F.when(y == 0, x)
-        aggs += [
-            F.corr(x, y.cast("double")).alias(f"_c{i}"),
-            F.stddev_pop(x).alias(f"_s{i}"),
-            (F.avg(fraud) - F.avg(legit)).alias(f"_m{i}"),
-            (F.var_pop(fraud) - F.var_pop(legit)).alias(f"_v{i}"),
-        ]
-        spread = F.col(f"_s{i}")
-        measures = (
-            F.col(f"_c{i}"),
-            F.try_divide(F.col(f"_m{i}"), spread),
-            F.try_divide(F.col(f"_v{i}"), spread * spread),
-        )
-        lines += [
-            F.struct(
-                F.lit(source).alias("model"),
-                F.lit(name).alias("feature"),
-                F.abs(measure).alias("value"),
-            )
-            for source, measure in zip(_SOURCES, measures)
-        ]
-    return rows.agg(*aggs).select(F.inline(F.array(*lines)))
+    """Three importance measures per feature, from the class means and variances of the whole table."""
+    rows = feature_rows(spark, sf, ["city_pop"]).select("is_fraud", *_FEATURES)
+    per_class = rows.groupBy("is_fraud").agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("feature"),
+                    F.count(c).alias("n"),
+                    F.avg(F.col(c).cast("double")).alias("mean"),
+                    F.var_pop(F.col(c).cast("double")).alias("var"),
+                )
+                for c in _FEATURES
+            ]
+        ).alias("stats")
+    )
+
+    def of(label, name):
+        return F.max(F.when(F.col("is_fraud") == label, F.col(name)))
+
+    both = (
+        per_class.select("is_fraud", F.inline("stats"))
+        .groupBy("feature")
+        .agg(*[of(k, name).alias(f"{name}{k}") for k in (0, 1) for name in ("n", "mean", "var")])
+    )
+    rows_known = F.col("n0") + F.col("n1")
+    share = F.col("n1") / rows_known
+    gap = F.col("mean1") - F.col("mean0")
+    between = share * (1 - share) * gap * gap
+    variance = (1 - share) * F.col("var0") + share * F.col("var1") + between
+    measures = {
+        "correlation": F.sqrt(F.try_divide(between, variance)),
+        "mean_gap": F.abs(F.try_divide(gap, F.sqrt(variance))),
+        "variance_gap": F.abs(F.try_divide(F.col("var1") - F.col("var0"), variance)),
+    }
+    lines = F.array(
+        *[F.struct(F.lit(k).alias("model"), v.alias("value")) for k, v in measures.items()]
+    )
+    return both.select("feature", F.inline(lines)).select("model", "feature", "value")
 
 
 def _importance_sql() -> dict[str, str]:
@@ -331,7 +340,7 @@ def _importance_sql() -> dict[str, str]:
                         m / sum(m) OVER () * 100 AS mean_gap, v / sum(v) OVER () * 100 AS variance_gap
                       FROM ({tall})""",
         "averaged": "SELECT *, (correlation + mean_gap + variance_gap) / 3 AS average FROM shares",
-        "ranked": """SELECT row_number() OVER (ORDER BY average DESC, feature) AS rank, *
+        "ranked": """SELECT row_number() OVER (ORDER BY round(average, 9) DESC, feature) AS rank, *
                      FROM averaged""",
     }
 

@@ -136,7 +136,7 @@ def model_roundtrip(spark, sf):
 def transaction_stream(spark, sf, columns=None):
     """The events file as a stream, joined with the customer and nation tables."""
     events = read_table(spark, sf, "events")
-    stream = jobs.file_stream(spark, f"{sf}/events.parquet", events.schema)
+    stream = jobs.file_stream(spark, sf, events.schema, "events.parquet")
     return derive(
         stream, read_table(spark, sf, "customer"), read_table(spark, sf, "nation"), columns
     )

@@ -165,7 +165,7 @@ def top_n_values(spark, sf):
 @query("reduce_categories", oracle("SELECT trans_num, job, merchant FROM reduced", "reduced"))
 def reduce_categories(spark, sf):
     cleaned = prepare.clean_text_columns(transactions(spark, sf, ["trans_num", "job", "merchant"]))
-    return prepare.reduce_categories(cleaned, prepare.top_values(cleaned, top_n=TOP_N))
+    return prepare.reduce_categories(cleaned, prepare.fit_top_values(cleaned, top_n=TOP_N))
 
 
 @query(
@@ -309,9 +309,11 @@ def outlier_recommendation(spark, sf):
 
 # ---- features
 
-_KM = """2 * 6371 * atan2(sqrt(a), sqrt(1 - a))"""
-_CHORD = """least(CAST(1 AS DOUBLE), pow(sin((radians(merch_lat) - radians(lat)) / 2), 2)
-  + cos(radians(lat)) * cos(radians(merch_lat)) * pow(sin((radians(merch_long) - radians(long)) / 2), 2))"""
+_KM = "2 * 6371 * atan2(sqrt(a), sqrt(1 - a))"
+_CHORD = """CASE WHEN lat IS NOT NULL AND merch_lat IS NOT NULL
+  THEN least(CAST(1 AS DOUBLE), pow(sin((radians(merch_lat) - radians(lat)) / 2), 2)
+  + cos(radians(lat)) * cos(radians(merch_lat)) * pow(sin((radians(merch_long) - radians(long)) / 2), 2))
+  END"""
 
 
 @query(

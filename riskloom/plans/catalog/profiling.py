@@ -420,7 +420,7 @@ def high_corr_pairs(spark, sf):
     "target_corr",
     oracle(
         f"""SELECT feature, {r6('c')} AS correlation, {r6('a')} AS abs_correlation, direction,
-              row_number() OVER (PARTITION BY direction ORDER BY a DESC, feature) AS direction_rank
+              row_number() OVER (PARTITION BY direction ORDER BY round(a, 9) DESC, feature) AS direction_rank
             FROM (SELECT *, CASE WHEN c > 0 THEN 'positive' WHEN c < 0 THEN 'negative' ELSE 'none' END
                     AS direction FROM target)""",
         "feats",

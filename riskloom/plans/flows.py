@@ -22,8 +22,8 @@ from riskloom.operators.encode import (
 from riskloom.operators.features import add_amount_features, add_interactions, add_time_features
 from riskloom.operators.prepare import (
     clean_text_columns,
+    fit_top_values,
     reduce_categories,
-    top_values,
     transform,
 )
 from riskloom.schema import DROPPED
@@ -33,16 +33,19 @@ from riskloom.session import write_table
 def prepare(df: DataFrame, top_n: int = 50) -> DataFrame:
     """Text cleanup, category reduction, calendar parts, coordinate check."""
     cleaned = clean_text_columns(df)
-    return transform(reduce_categories(cleaned, top_values(cleaned, top_n=top_n)))
+    return transform(reduce_categories(cleaned, fit_top_values(cleaned, top_n=top_n)))
 
 
 def cleanse(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Remove copies, derive the age and drop the columns that must not reach a model.
 
-    Copies are found on the reduced merchant, as the steps follow each other.
+    Copies are found on the reduced merchant, as the steps follow each other. The rows are written
+    once, before the median age, the vocabularies, the amount statistics and the features each read
+    their few columns of them.
     """
-    aged = impute_age(add_age(drop_duplicates_keep_first(df)))
-    return drop_columns(aged, [c for c in DROPPED if c not in keep])
+    unique = add_age(drop_duplicates_keep_first(df))
+    kept = drop_columns(unique, [c for c in DROPPED if c not in keep])
+    return impute_age(write_table(kept, "cleansed"))
 
 
 def encode(df: DataFrame) -> DataFrame:
@@ -58,10 +61,5 @@ def engineer(df: DataFrame) -> DataFrame:
 
 
 def feature_table(df: DataFrame, top_n: int = 50, keep: Sequence[str] = ()) -> DataFrame:
-    """Raw transactions to model features.
-
-    The cleansed rows are written once: the vocabularies, the amount statistics and the features all
-    read them again, each with its own few columns.
-    """
-    cleansed = write_table(cleanse(prepare(df, top_n), keep), "cleansed")
-    return engineer(encode(cleansed))
+    """Raw transactions to model features."""
+    return engineer(encode(cleanse(prepare(df, top_n), keep)))

@@ -17,96 +17,71 @@ from riskloom.schema import RAW_SCHEMA
 _FROM_CUSTOMER = {"job", "lat", "long", "merch_lat", "merch_long"}
 _FROM_NATION = {"state"}
 
-DUPLICATE_SHIFT = 10_000_000
-
-
-def _double(value: float):
-    return F.lit(value).cast("double")
+# Row id, and the wall-clock text of the event time, which no session time zone can change.
+_BASE = (
+    "*",
+    """explode(if(event_id % 200 = 0, array(event_id, event_id + 10000000), array(event_id)))
+       AS copy_id""",
+    "cast(ts AS string) AS clock",
+)
+
+# How each column is made.
+_MADE = {
+    "trans_num": "copy_id",
+    "cc_num": "user_id",
+    "ssn": """concat_ws('-', lpad(cast(user_id % 1000 AS string), 3, '0'),
+              lpad(cast(user_id * 7 % 100 AS string), 2, '0'),
+              lpad(cast(user_id * 13 % 10000 AS string), 4, '0'))""",
+    "acct_num": "user_id + 1000000",
+    "first": "concat('First', user_id)",
+    "last": "concat('Last', user_id % 20)",
+    "gender": "if(user_id % 2 = 0, 'F', 'M')",
+    "street": "concat(user_id, ' Main St.')",
+    "city": "concat('City ', user_id % 40)",
+    "state": "n_name",
+    "zip": "10000 + user_id * 37 % 90000",
+    "lat": """CASE WHEN event_id % 499 = 0 THEN 123D WHEN event_id % 503 = 0 THEN NULL
+              ELSE 25D + c_nationkey END""",
+    "long": "-120D + 2 * c_nationkey",
+    "city_pop": "500 + user_id * 7919 % 100000",
+    "job": "c_mktsegment",
+    "dob": """CASE WHEN user_id % 11 = 5 THEN 'n/a' WHEN user_id % 13 = 6 THEN '2030-01-01'
+              ELSE cast(date_add(DATE'1930-01-01', cast(user_id * 211 % 27000 AS int)) AS string) END""",
+    "profile": "if(user_id % 17 != 3, concat('Adults_', user_id % 12, '_Urban.json'), NULL)",
+    "trans_date": "substring(clock, 1, 10)",
+    "trans_time": "if(event_id % 491 = 0, 'bad', substring(clock, 12, 8))",
+    "unix_time": "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
+    "category": "event_type",
+    "merchant": "concat('fraud_Shop #', (event_id % 97) * (event_id % 97) % 97, ', & Sons')",
+    "amt": "value",
+    "merch_lat": """CASE WHEN event_id % 499 = 0 THEN 123D WHEN event_id % 503 = 0 THEN NULL
+                    ELSE 25D + c_nationkey END + (event_id % 200 - 100) / 100D""",
+    "merch_long": "-120D + 2 * c_nationkey + (event_id % 200 - 100) / 100D",
+    "is_fraud": """if((substring(clock, 12, 2) IN ('22', '23', '00', '01', '02', '03') AND value > 100)
+                      OR (event_type = 'error' AND value > 200), 1, 0)""",
+}
 
 
 def derive(
     events: DataFrame,
-    customer: DataFrame | None,
-    nation: DataFrame | None,
+    customer: DataFrame,
+    nation: DataFrame,
     columns: Iterable[str] | None = None,
 ) -> DataFrame:
     """Transactions from an events frame (batch or stream). Joins that no wanted column needs are left
     out; the customer key is unique, so a left join never changes the rows."""
-    wanted = list(columns) if columns is not None else RAW_SCHEMA.fieldNames()
-    needs_nation = bool(_FROM_NATION.intersection(wanted))
-    needs_customer = needs_nation or bool(_FROM_CUSTOMER.intersection(wanted))
-
-    event_id = F.col("event_id")
-    copies = F.when(
-        event_id % 200 == 0, F.array(event_id, event_id + DUPLICATE_SHIFT)
-    ).otherwise(F.array(event_id))
-    rows = events.withColumn("_copy", F.explode(copies))
-    if needs_customer:
+    wanted = set(columns) if columns is not None else set(RAW_SCHEMA.fieldNames())
+    rows = events.selectExpr(*_BASE)
+    if wanted & (_FROM_CUSTOMER | _FROM_NATION):
         people = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
         rows = rows.join(people, F.col("user_id") == F.col("c_custkey"), "left")
-    if needs_nation:
+    if wanted & _FROM_NATION:
         # 25 rows at every scale
         places = F.broadcast(nation.select("n_nationkey", "n_name"))
         rows = rows.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-
-    event, user, ts = event_id, F.col("user_id"), F.col("ts")
-    hour, amt = F.hour(ts), F.col("value")
-    shift = (event % 200 - 100) / _double(100.0)
-    exact_lat = _double(25.0) + F.col("c_nationkey") if needs_customer else F.lit(None)
-    lat = (
-        F.when(event % 499 == 0, _double(123.0))
-        .when(event % 503 == 0, F.lit(None).cast("double"))
-        .otherwise(exact_lat)
-    )
-    long = _double(-120.0) + 2 * F.col("c_nationkey") if needs_customer else F.lit(None)
-    born = F.date_add(F.lit("1930-01-01").cast("date"), (user * 211 % 27000).cast("int"))
-    ssn = F.concat_ws(
-        "-",
-        F.lpad((user % 1000).cast("string"), 3, "0"),
-        F.lpad((user * 7 % 100).cast("string"), 2, "0"),
-        F.lpad((user * 13 % 10000).cast("string"), 4, "0"),
-    )
-    night = hour.isin(22, 23, 0, 1, 2, 3)
-
-    made = {
-        "trans_num": F.col("_copy"),
-        "cc_num": user,
-        "ssn": ssn,
-        "acct_num": user + 1000000,
-        "first": F.concat(F.lit("First"), user),
-        "last": F.concat(F.lit("Last"), user % 20),
-        "gender": F.when(user % 2 == 0, "F").otherwise("M"),
-        "street": F.concat(user, F.lit(" Main St.")),
-        "city": F.concat(F.lit("City "), user % 40),
-        "state": F.col("n_name") if needs_nation else None,
-        "zip": 10000 + user * 37 % 90000,
-        "lat": lat,
-        "long": long,
-        "city_pop": 500 + user * 7919 % 100000,
-        "job": F.col("c_mktsegment") if needs_customer else None,
-        "dob": F.when(user % 11 == 5, "n/a")
-        .when(user % 13 == 6, "2030-01-01")
-        .otherwise(F.date_format(born, "yyyy-MM-dd")),
-        "profile": F.when(
-            user % 17 != 3, F.concat(F.lit("Adults_"), user % 12, F.lit("_Urban.json"))
-        ),
-        "trans_date": F.date_format(ts, "yyyy-MM-dd"),
-        "trans_time": F.when(event % 491 == 0, "bad").otherwise(F.date_format(ts, "HH:mm:ss")),
-        "unix_time": F.unix_seconds(F.date_trunc("second", ts)),
-        "category": F.col("event_type"),
-        "merchant": F.concat(
-            F.lit("fraud_Shop #"), (event % 97) * (event % 97) % 97, F.lit(", & Sons")
-        ),
-        "amt": amt,
-        "merch_lat": lat + shift,
-        "merch_long": long + shift,
-        "is_fraud": (
-            (night & (amt > 100)) | ((F.col("event_type") == "error") & (amt > 200))
-        ).cast("int"),
-    }
-    return rows.select(
+    return rows.selectExpr(
         *[
-            made[field.name].cast(field.dataType).alias(field.name)
+            f"cast({_MADE[field.name]} AS {field.dataType.simpleString()}) AS `{field.name}`"
             for field in RAW_SCHEMA
             if field.name in wanted
         ]

@@ -14,12 +14,17 @@ from riskloom.session import scratch_path
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    pattern: str = "*.parquet",
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    """The Parquet files of a folder, old and new ones, as a stream."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def prepare_rows(rows: DataFrame) -> DataFrame:
