@@ -8,7 +8,7 @@ from pyspark.sql.types import DateType
 from riskloom.schema import WEEKDAYS
 
 _DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-_CLOCK = r"^(2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]$"
+_CLOCK = r"^(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]$"
 
 
 def parse_date(col: Column) -> Column:
@@ -25,7 +25,7 @@ def date_column(df: DataFrame, name: str) -> Column:
 
 def parse_hour(col: Column) -> Column:
     """Hour of ``HH:mm:ss`` text. Plain text work, so the session time zone plays no part."""
-    return F.nullif(F.regexp_extract(col, _CLOCK, 1), F.lit("")).cast("int")
+    return F.when(col.rlike(_CLOCK), F.substring_index(col, ":", 1).cast("int"))
 
 
 def weekday_name(col: Column) -> Column:

@@ -112,10 +112,11 @@ def predictor_bands(target: DataFrame, strong: float = 0.05, weak: float = 0.01)
 
 def correlation_histogram(target: DataFrame, bins: int = 30) -> DataFrame:
     """How the feature correlations spread over equal bins between their extremes."""
-    span = target.agg(
-        F.struct(F.min("correlation").alias("low"), F.max("correlation").alias("high"))
-    ).scalar()
-    rows = target.select("correlation").withColumn("_span", span)
-    return even_bins(
-        rows.select(F.col("correlation").alias("value"), F.lit(1).alias("n"), "_span"), bins
+    # one row per feature column
+    everything = Window.partitionBy(F.lit(0))
+    span = F.struct(
+        F.min("correlation").over(everything).alias("low"),
+        F.max("correlation").over(everything).alias("high"),
     )
+    rows = target.select(F.col("correlation").alias("value"), F.lit(1).alias("n"), span.alias("_span"))
+    return even_bins(rows, bins)

@@ -6,8 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.numbers import magnitude_bin
-from riskloom.operators.ordered import histogram_quantiles, running_totals, value_histogram
+from riskloom.operators.ordered import (
+    fill_levels,
+    histogram_quantiles,
+    running_totals,
+    value_histogram,
+)
 from riskloom.schema import LABEL
 
 
@@ -25,16 +29,10 @@ def even_bins(rows: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """
     bin_of = bin_number(F.col("value"), F.col("_span.low"), F.col("_span.high"), bins)
     counted = rows.groupBy(*by, "_span", bin_of.alias("bin")).agg(F.sum("n").alias("n"))
-    # every (group, span) contributes zero rows for all bins before the final sum
-    frame = counted.select(*by, "_span").distinct().select(
-        *by, "_span", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
     width = (F.col("_span.high") - F.col("_span.low")) / bins
     return (
-        counted.filter(F.col("bin").isNotNull())
-        .unionByName(frame.withColumn("n", F.lit(0).cast("long")))
-        .groupBy(*by, "_span", "bin")
-        .agg(F.sum("n").alias("count"))
+        fill_levels(counted, "bin", 0, bins - 1, ["n"], [*by, "_span"])
+        .withColumnRenamed("n", "count")
         .select(
             *by,
             "bin",
@@ -117,10 +115,8 @@ def amount_cdf(df: DataFrame, label: str = LABEL, column: str = "amt") -> DataFr
     One row per distinct value with the heights of its first and last copy.
     """
     values = _class_values(df, label, column)
-    totals = running_totals(
-        values, ["n"], {"_bin": magnitude_bin(F.col("value"))}, ["value"], [label]
-    )
-    last = F.col("n_total") - 1
+    totals = running_totals(values, "n", "value", [label])
+    last = F.col("n_all") - 1
 
     def height(position: Column) -> Column:
         return F.coalesce(F.try_divide(position, last), F.lit(0.0))

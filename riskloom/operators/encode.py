@@ -57,8 +57,7 @@ def onehot_encode(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> Dat
 def label_vocabulary(df: DataFrame, columns: Sequence[str] = LABEL_CODED) -> DataFrame:
     """Tall ``(column, value, code)``: sorted distinct values, null as ``'unknown'``, codes from 0.
 
-    Number columns sort as numbers. The codes come from binned windows, so even a very large vocabulary
-    is not sorted in one task.
+    Number columns sort as numbers. Even a very large vocabulary is not sorted in one task.
     """
     present = [c for c in columns if c in df.columns]
     numeric = [f.name for f in df.schema if f.name in present and isinstance(f.dataType, NumericType)]

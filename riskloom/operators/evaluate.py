@@ -10,8 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.functions.numbers import magnitude_bin, safe_ratio
-from riskloom.operators.ordered import running_totals
+from riskloom.functions.numbers import safe_ratio
+from riskloom.operators.ordered import fill_levels, running_totals
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -82,16 +82,14 @@ def score_counts(
     keys = [F.col(score).alias("_score"), F.col(pred).alias("_pred")] if pred else [
         F.col(score).alias("_score")
     ]
-    return scored.groupBy(*by, *keys).agg(
+    return scored.filter(F.col(score).isNotNull()).groupBy(*by, *keys).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
 
 
 def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """ROC-AUC from ``score_counts``; the ranking runs in score bins, never in one task."""
-    ranked = running_totals(
-        counts, ["_neg"], {"_bin": magnitude_bin(F.col("_score"))}, ["_score"], by
-    )
+    ranked = running_totals(counts, "_neg", "_score", by)
     wins = F.expr("sum(_pos * (cast(_neg_before AS double) + _neg / 2D))")
     pairs = F.expr("cast(sum(_pos) AS double) * sum(_neg)")
     return ranked.groupBy(*by).agg(F.try_divide(wins, pairs).alias("roc_auc"))
@@ -154,7 +152,7 @@ def threshold_counts(
         .when(guess / last > value, guess - 1)
         .otherwise(guess)
     )
-    level = F.least(reached, F.lit(steps - 1)).cast("int")
+    level = F.greatest(F.least(reached, F.lit(steps - 1)), F.lit(-1)).cast("int")
     counted = (
         scored.filter(value.isNotNull())
         .groupBy(*by, level.alias("_level"))
@@ -163,14 +161,7 @@ def threshold_counts(
             F.count_if(F.col(label) == 0).alias("_neg"),
         )
     )
-    levels = F.explode(F.sequence(F.lit(-1), F.lit(steps - 1))).alias("_level")
-    groups = counted.select(*by).distinct() if by else scored.sparkSession.range(1)
-    frame = groups.select(
-        *by, levels, F.lit(0).cast("long").alias("_pos"), F.lit(0).cast("long").alias("_neg")
-    )
-    full = counted.unionByName(frame).groupBy(*by, "_level").agg(
-        F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")
-    )
+    full = fill_levels(counted, "_level", -1, steps - 1, ["_pos", "_neg"], by)
     whole = Window.partitionBy(*(by or [F.lit(0)]))
     above = whole.orderBy(F.desc("_level")).rowsBetween(Window.unboundedPreceding, 0)
     return full.select(

@@ -1,59 +1,52 @@
-"""Order statistics that scale: running totals, exact quantiles and exact-n cuts.
+"""Order statistics that scale: running totals, exact quantiles, codes in sort order, exact-n cuts.
 
 A running total over a whole table in one sorted task does not scale. Here rows are first put into
-bins whose order follows the sort order; a small window totals the bins, and a second window runs
-inside each bin only. Results are exact for any choice of bins.
+bins whose order follows the sort order; windows total the bins level by level, and a last window runs
+inside the finest bins only. Results are exact, and no window sees more rows than the bins allow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.functions.numbers import magnitude_bin, sample_hash
+from riskloom.functions.numbers import sample_hash, value_bins
+from riskloom.session import write_table
 
 # Hash buckets of the exact-n cut: 2^18 of 2^32 hash values.
 _BUCKET_WIDTH = 1 << 14
 
 
 def running_totals(
-    df: DataFrame,
-    sums: Sequence[str],
-    bins: Mapping[str, Column],
-    order: Sequence[str],
-    group: Sequence[str] = (),
+    df: DataFrame, total: str, value: str, group: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``<name>_before`` (total of all earlier rows of the group) and ``<name>_total`` per column.
+    """Add ``<total>_before``, the sum of ``total`` over all smaller values of the group, and
+    ``<total>_all``, the sum over the group. ``df`` has one row per group and value, not null."""
+    group = list(group)
+    binned = df.withColumns(value_bins(value))
+    fine = binned.groupBy(*group, "_b1", "_b2").agg(F.sum(total).alias("_t"))
+    coarse = fine.groupBy(*group, "_b1").agg(F.sum("_t").alias("_t"))
+
+    def earlier(column: str, part: Sequence[str], order: str) -> Column:
+        window = Window.partitionBy(*(part or [F.lit(0)])).orderBy(order)
+        before = F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(before, F.lit(0))
 
-    ``bins`` are expressions whose order follows ``order`` and that take a bounded number of values
-    per group. ``df`` should be aggregated already, one row per distinct order value.
-    """
-    group, bin_names = list(group), list(bins)
-    binned = df.withColumns(dict(bins))
-    per_bin = binned.groupBy(*group, *bin_names).agg(*[F.sum(s).alias(s) for s in sums])
     whole = Window.partitionBy(*(group or [F.lit(0)]))
-    earlier = whole.orderBy(*bin_names).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bin.select(
+    starts = coarse.select(
         *group,
-        *bin_names,
-        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_{s}_offset") for s in sums],
-        *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
-    )
-    inside = (
-        Window.partitionBy(*group, *bin_names)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        "_b1",
+        earlier("_t", group, "_b1").alias("_start"),
+        F.sum("_t").over(whole).alias(f"{total}_all"),
     )
+    inner = fine.withColumn("_inner", earlier("_t", [*group, "_b1"], "_b2")).drop("_t")
+    placed = inner.join(starts, [*group, "_b1"]).withColumn("_start", F.expr("_start + _inner"))
     return (
-        binned.join(offsets, [*group, *bin_names])
-        .withColumns(
-            {
-                f"{s}_before": F.col(f"_{s}_offset") + F.coalesce(F.sum(s).over(inside), F.lit(0))
-                for s in sums
-            }
-        )
-        .drop(*bin_names, *[f"_{s}_offset" for s in sums])
+        binned.join(placed, [*group, "_b1", "_b2"])
+        .withColumn("_own", earlier(total, [*group, "_b1", "_b2"], value))
+        .withColumn(f"{total}_before", F.expr("_start + _own"))
+        .drop("_b1", "_b2", "_start", "_inner", "_own")
     )
 
 
@@ -71,6 +64,25 @@ def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     )
 
 
+def fill_levels(
+    counted: DataFrame, level: str, first: int, last: int, sums: Sequence[str], group: Sequence[str] = ()
+) -> DataFrame:
+    """Complete counts per level to all levels ``first..last``, with 0 for the absent ones.
+
+    ``counted`` has one row per group and level, so each group gathers a fixed, small number of rows.
+    """
+    entry = F.struct(F.col(level), F.struct(*sums))
+    known = F.map_from_entries(F.collect_list(F.when(F.col(level).isNotNull(), entry)))
+    return (
+        counted.groupBy(*group)
+        .agg(known.alias("_known"))
+        .select(*group, "_known", F.explode(F.sequence(F.lit(first), F.lit(last))).alias(level))
+        .selectExpr(
+            *group, level, *[f"coalesce(try_element_at(_known, {level}).{s}, 0L) AS {s}" for s in sums]
+        )
+    )
+
+
 def quantile_name(p: float) -> str:
     return f"q{round(p * 100):02d}"
 
@@ -80,33 +92,42 @@ def histogram_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles from a ``value_histogram``: one row per (by, column).
 
-    Only the bins that hold a wanted position are opened, at most two per probability.
+    Only the bins that hold a wanted position are opened, at most two per probability and level, so the
+    broadcast lists of opened bins stay tiny. ``by`` holds few values, such as the label.
     """
     group = [*by, "column"]
-    binned = histogram.withColumn("_bin", magnitude_bin(F.col("value")))
-    whole = Window.partitionBy(*group)
-    upto = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    per_bin = (
-        binned.groupBy(*group, "_bin")
-        .agg(F.sum("n").alias("_n"))
-        .withColumn("_end", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_start", F.expr("_end - _n"))
-    )
+    binned = histogram.withColumns(value_bins("value"))
     # quantile p stands at position (total - 1) * p, between its floor and its ceiling
     spots = {quantile_name(p): f"((_total - 1) * {float(p)}D)" for p in probs}
     ends = [f"cast({edge}({at}) AS bigint)" for at in spots.values() for edge in ("floor", "ceil")]
-    hit = " OR ".join(f"(_start <= {end} AND {end} < _end)" for end in ends)
-    opened = per_bin.filter(hit).select(*group, "_bin", "_start", "_total")
-    inside = Window.partitionBy(*group, "_bin").orderBy("value")
-    placed = (
-        binned.join(F.broadcast(opened), [*group, "_bin"])
-        .withColumn("_to", F.col("_start") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_from", F.expr("_to - n"))
+    hit = " OR ".join(f"(_from <= {end} AND {end} < _from + n)" for end in ends)
+
+    def upto(part: Sequence[str], order: str) -> Column:
+        window = Window.partitionBy(*part).orderBy(order)
+        return F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, 0))
+
+    first = (
+        binned.groupBy(*group, "_b1")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("_total", F.sum("n").over(Window.partitionBy(*group)))
+        .withColumn("_from", upto(group, "_b1") - F.col("n"))
+        .filter(hit)
+        .select(*group, "_b1", "_total", F.col("_from").alias("_base"))
+    )
+    second = (
+        binned.join(F.broadcast(first), [*group, "_b1"])
+        .groupBy(*group, "_b1", "_b2", "_total", "_base")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("_from", F.col("_base") + upto([*group, "_b1"], "_b2") - F.col("n"))
+        .filter(hit)
+        .select(*group, "_b1", "_b2", "_total", F.col("_from").alias("_base"))
+    )
+    placed = binned.join(F.broadcast(second), [*group, "_b1", "_b2"]).withColumn(
+        "_from", F.col("_base") + upto([*group, "_b1", "_b2"], "value") - F.col("n")
     )
 
     def value_at(end: str) -> str:
-        return f"max(if(_from <= {end} AND {end} < _to, value, NULL))"
+        return f"max(if(_from <= {end} AND {end} < _from + n, value, NULL))"
 
     picked = placed.groupBy(*group).agg(
         F.max("_total").alias("_total"),
@@ -147,22 +168,30 @@ def dense_codes(values: DataFrame, numeric: Iterable[str] = ()) -> DataFrame:
     """Codes 0..n-1 in sort order for a tall ``(column, value)`` table of distinct values.
 
     Columns in ``numeric`` sort as numbers (a value that is no number goes last), the others as text.
+    The values are range-partitioned and written, which fixes the parts; a value's code is the size of
+    the earlier parts plus its place in its own part.
     """
-    is_number = F.col("column").isin(*numeric) if list(numeric) else F.lit(False)
-    keyed = values.withColumns(
-        {
-            "_number": F.when(is_number, F.coalesce(F.col("value").try_cast("double"), F.lit(float("inf")))).otherwise(F.lit(0.0)),
-            "_one": F.lit(1),
-        }
-    )
-    bins = {
-        "_number_bin": F.when(F.col("_number") == float("inf"), F.lit(1 << 40)).otherwise(
-            magnitude_bin(F.col("_number"))
+    numeric = list(numeric)
+    is_number = F.col("column").isin(*numeric) if numeric else F.lit(False)
+    number = F.coalesce(F.col("value").try_cast("double"), F.lit(float("inf")))
+    keyed = values.withColumn("_number", F.when(is_number, number).otherwise(F.lit(0.0)))
+    parts = write_table(
+        keyed.repartitionByRange("column", "_number", "value").withColumn(
+            "_part", F.spark_partition_id()
         ),
-        "_prefix": F.when(is_number, F.lit("")).otherwise(F.substring("value", 1, 2)),
-    }
-    coded = running_totals(keyed, ["_one"], bins, ["_number", "value"], ["column"])
-    return coded.select("column", "value", F.col("_one_before").cast("long").alias("code"))
+        "sorted-values",
+    )
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        parts.groupBy("column", "_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("column", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    place = F.row_number().over(Window.partitionBy("column", "_part").orderBy("_number", "value"))
+    # one row per column and part
+    return parts.join(F.broadcast(offsets), ["column", "_part"]).select(
+        "column", "value", (F.col("_offset") + place - 1).cast("long").alias("code")
+    )
 
 
 def hash_cut(

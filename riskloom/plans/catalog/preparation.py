@@ -26,7 +26,7 @@ from riskloom.plans.catalog.sqltext import (
     ratio,
 )
 from riskloom.schema import RAW_SCHEMA
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, write_table
 from riskloom.sources import files
 from riskloom.sources.transactions import read_table, transactions
 
@@ -385,9 +385,12 @@ def placed(spark, sf, columns=()):
 
 
 def feature_rows(spark, sf, columns=()):
-    """Placed transactions with age and all engineered features."""
-    rows = placed(spark, sf, {"dob", "amt", "is_fraud", *columns})
-    return flows.engineer(cleanse.impute_age(cleanse.add_age(rows)))
+    """Placed transactions with age and all engineered features.
+
+    The placed rows are written once; the median age and the amount statistics then read one column.
+    """
+    rows = cleanse.add_age(placed(spark, sf, {"dob", "amt", "is_fraud", *columns}))
+    return flows.engineer(cleanse.impute_age(write_table(rows.drop("dob", "trans_date"), "placed")))
 
 
 @query("amount_features", oracle(f"SELECT {_AMOUNT_OUT} FROM feats", "feats"))
@@ -478,7 +481,7 @@ _CODED = ("job", "merchant", "city", "profile", "zip")
 
 def prepared_rows(spark, sf, columns):
     """Cleaned, reduced and transformed rows with the columns a query needs."""
-    wanted = {*_POINTS, "trans_date", "trans_time", "job", "merchant", *columns}
+    wanted = {*_POINTS, "trans_date", "trans_time", *columns}
     return flows.prepare(transactions(spark, sf, wanted), TOP_N)
 
 

@@ -330,12 +330,12 @@ def risk_by_category(spark, sf):
 
 @query("risk_by_job", oracle(_risk_sql("job"), "prepared"))
 def risk_by_job(spark, sf):
-    return risk.risk_by_value(prepared_rows(spark, sf, ["is_fraud"]), "job")
+    return risk.risk_by_value(prepared_rows(spark, sf, ["job", "is_fraud"]), "job")
 
 
 @query("risk_by_merchant", oracle(_risk_sql("merchant"), "prepared"))
 def risk_by_merchant(spark, sf):
-    return risk.risk_by_value(prepared_rows(spark, sf, ["is_fraud"]), "merchant")
+    return risk.risk_by_value(prepared_rows(spark, sf, ["merchant", "is_fraud"]), "merchant")
 
 
 _RISK_TALL = " UNION ALL ".join(

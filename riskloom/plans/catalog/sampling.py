@@ -8,6 +8,7 @@ from riskloom.operators import sampling, validate
 from riskloom.plans.catalog.preparation import feature_rows
 from riskloom.plans.catalog.registry import query
 from riskloom.plans.catalog.sqltext import hashed, oracle, r6, ratio
+from riskloom.session import write_table
 from riskloom.sources.transactions import transactions
 
 _ROW = ["trans_num", "is_fraud"]
@@ -195,7 +196,9 @@ _LOOKALIKE = ("amt", "amt_zscore", "hour_cos", "amt_per_age", "amt_log")
 )
 def unseen_rows(spark, sf):
     """Rows without a look-alike in the training part, by the five strongest features."""
-    rows = feature_rows(spark, sf).select("trans_num", "is_fraud", *_LOOKALIKE)
+    rows = write_table(
+        feature_rows(spark, sf).select("trans_num", "is_fraud", *_LOOKALIKE), "selected"
+    )
     split = sampling.stratified_split(rows)
     train = split.filter(F.col("split") == "train")
     return validate.unseen_rows(rows, train, _LOOKALIKE).select("trans_num", "is_fraud")

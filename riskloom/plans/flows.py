@@ -26,14 +26,16 @@ from riskloom.operators.prepare import (
     reduce_categories,
     transform,
 )
-from riskloom.schema import DROPPED
+from riskloom.schema import DROPPED, REDUCED
 from riskloom.session import write_table
 
 
 def prepare(df: DataFrame, top_n: int = 50) -> DataFrame:
     """Text cleanup, category reduction, calendar parts, coordinate check."""
-    cleaned = clean_text_columns(df)
-    return transform(reduce_categories(cleaned, fit_top_values(cleaned, top_n=top_n)))
+    rows = clean_text_columns(df)
+    if set(REDUCED) & set(rows.columns):
+        rows = reduce_categories(rows, fit_top_values(rows, top_n=top_n))
+    return transform(rows)
 
 
 def cleanse(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
