@@ -53,9 +53,8 @@ def add_time_features(df: DataFrame) -> DataFrame:
 def amount_statistics(df: DataFrame, column: str = "amt") -> DataFrame:
     """One row: mean, sample deviation, quartiles and 95th percentile over the whole table."""
     spread = df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
-    marks = quantiles(df, [column], [0.25, 0.75, 0.95])
-    # both sides hold one row
-    return spread.withColumn("column", F.lit(column)).join(F.broadcast(marks), "column", "left")
+    marks = quantiles(df, [column], [0.25, 0.75, 0.95]).select(F.struct("q25", "q75", "q95"))
+    return spread.withColumn("_q", marks.scalar()).select("mean", "std", "_q.*")
 
 
 def add_amount_features(df: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
