@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 
 def round_half_even(col: Column, digits: int) -> Column:
@@ -50,8 +51,13 @@ def value_bins(name: str) -> dict[str, Column]:
     }
 
 
-def sample_hash(row_id: Column, seed: int = 42) -> Column:
-    """A number in [0, 2^32) that spreads integer row ids. Only integer arithmetic below 2^63, so any
-    SQL engine gives the same value."""
-    spread = (row_id % F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed * 40503)
+def sample_hash(df: DataFrame, row_id: str, seed: int = 42) -> Column:
+    """A number in [0, 2^32) that spreads row ids.
+
+    Integer ids need only integer arithmetic below 2^63, so any SQL engine gives the same value. Other
+    ids, such as text, are hashed to an integer first.
+    """
+    integral = isinstance(df.schema[row_id].dataType, IntegralType)
+    number = F.col(row_id).cast("long") if integral else F.xxhash64(row_id)
+    spread = (number % F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed * 40503)
     return F.pmod(spread, F.lit(4294967296))

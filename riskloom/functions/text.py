@@ -15,13 +15,20 @@ _KEPT = r"a-z0-9._\-"
 _UNWANTED = rf"[^{_KEPT} {_RARE_BLANKS}]+"
 # Once unwanted characters are gone, whatever is not kept is a blank. A lone space stays as it is.
 _LOOSE_BLANKS = rf" [^{_KEPT}]+|[^{_KEPT} ][^{_KEPT}]*"
+# Something to do at all: an unwanted character, an outer blank or a double blank.
+_DIRTY = rf"[^{_KEPT} ]|^ |  | $"
 _OUTER_BLANKS = rf"^[ {_RARE_BLANKS}]+|[ {_RARE_BLANKS}]+$"
 
 
 def clean_text(col: Column) -> Column:
-    """Lower case, keep letters, digits, blanks and ``. _ -``, collapse blanks, trim."""
-    kept = F.regexp_replace(F.lower(col), _UNWANTED, "")
-    return F.trim(F.regexp_replace(kept, _LOOSE_BLANKS, " "))
+    """Lower case, keep letters, digits, blanks and ``. _ -``, collapse blanks, trim.
+
+    Most values are clean once they are in lower case, so one test spares them the replacements.
+    """
+    lowered = F.lower(col)
+    kept = F.regexp_replace(lowered, _UNWANTED, "")
+    cleaned = F.trim(F.regexp_replace(kept, _LOOSE_BLANKS, " "))
+    return F.when(lowered.rlike(_DIRTY), cleaned).otherwise(lowered)
 
 
 def clean_profile(col: Column) -> Column:

@@ -199,11 +199,11 @@ def hash_cut(
 ) -> DataFrame:
     """Per label the last (hash, id) of the ``n`` rows with the smallest hashes.
 
-    ``wanted`` has ``(label, n)``. A row belongs to the sample exactly when its (hash, id) does not
+    ``wanted`` has ``(label, n)``, one row per class of a two-class label. A row belongs to the sample exactly when its (hash, id) does not
     exceed the cut, so the sample itself is a plain filter: the wide rows are never shuffled or sorted.
     The cut is found from bucket counts and from the ids of one bucket per label.
     """
-    hashed = df.select(label, F.col(row_id).alias("_id"), sample_hash(F.col(row_id), seed).alias("_hash"))
+    hashed = df.select(label, F.col(row_id).alias("_id"), sample_hash(df, row_id, seed).alias("_hash"))
     bucket = F.floor(F.col("_hash") / _BUCKET_WIDTH).cast("long")
     per_bucket = hashed.groupBy(label, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(label).orderBy("_bucket")
@@ -225,9 +225,9 @@ def hash_cut(
     )
 
 
-def within_cut(row_id: str, seed: int = 42) -> Column:
+def within_cut(df: DataFrame, row_id: str, seed: int = 42) -> Column:
     """True for rows at or before the joined cut; null (no cut for the label) counts as false."""
-    spread = sample_hash(F.col(row_id), seed)
+    spread = sample_hash(df, row_id, seed)
     inside = (spread < F.col("_cut_hash")) | (
         (spread == F.col("_cut_hash")) & (F.col(row_id) <= F.col("_cut_id"))
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.numbers import safe_ratio, sample_hash
 from riskloom.operators.ordered import hash_cut, within_cut
@@ -36,17 +36,21 @@ def sample_plan(df: DataFrame, size: int, label: str = LABEL) -> DataFrame:
 def _targets(df: DataFrame, size: int, label: str) -> DataFrame:
     """``(label, n)``: how many rows each class contributes to a sample of ``size``."""
     plan = sample_plan(df, size, label)
-    label_type = df.schema[label].dataType
-    return plan.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).cast(label_type).alias(label), F.col("target_legit").alias("n")),
-                F.struct(F.lit(1).cast(label_type).alias(label), F.col("target_fraud").alias("n")),
-            )
-        )
+    return _per_class(
+        plan.select(F.col("target_legit").alias("_n0"), F.col("target_fraud").alias("_n1")), df, label
     )
 
 
+def _per_class(counts: DataFrame, df: DataFrame, label: str) -> DataFrame:
+    """``(label, n)``, two rows, from one row ``(_n0, _n1)``. Two rows are always fit to broadcast."""
+    kind = df.schema[label].dataType
+    lines = [
+        F.struct(F.lit(value).cast(kind).alias(label), F.col(f"_n{value}").alias("n"))
+        for value in (0, 1)
+    ]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def stratified_sample(
     df: DataFrame, size: int, label: str = LABEL, row_id: str = ROW_ID, seed: int = 42
 ) -> DataFrame:
@@ -54,7 +58,7 @@ def stratified_sample(
     cut = hash_cut(df, label, row_id, _targets(df, size, label), seed)
     # one cut per class
     return (
-        df.join(F.broadcast(cut), label).filter(within_cut(row_id, seed)).select(*df.columns)
+        df.join(F.broadcast(cut), label).filter(within_cut(df, row_id, seed)).select(*df.columns)
     )
 
 
@@ -66,7 +70,7 @@ def stratified_cap(
     total = df.agg(F.count(F.lit(1))).scalar()
     return (
         df.join(F.broadcast(cut), label, "left")
-        .filter((total <= size) | within_cut(row_id, seed))
+        .filter((total <= size) | within_cut(df, row_id, seed))
         .select(*df.columns)
     )
 
@@ -80,13 +84,15 @@ def stratified_split(
     names: tuple[str, str] = ("train", "test"),
 ) -> DataFrame:
     """Mark each row as train or test; every class gives the same share to the test part."""
-    wanted = df.groupBy(label).agg(
-        F.round(F.count(F.lit(1)) * F.lit(float(test_size))).cast("long").alias("n")
-    )
+    def share(value: int) -> Column:
+        rows = F.count_if(F.col(label) == value) * F.lit(float(test_size))
+        return F.round(rows).cast("long")
+
+    wanted = _per_class(df.agg(share(0).alias("_n0"), share(1).alias("_n1")), df, label)
     cut = hash_cut(df, label, row_id, wanted, seed)
     return (
         df.join(F.broadcast(cut), label, "left")
-        .withColumn("split", F.when(within_cut(row_id, seed), names[1]).otherwise(names[0]))
+        .withColumn("split", F.when(within_cut(df, row_id, seed), names[1]).otherwise(names[0]))
         .select(*df.columns, "split")
     )
 
@@ -112,7 +118,7 @@ def sample_by(
     """Approximate strata: keep each row with the probability of its class; absent classes give none."""
     keep = F.lit(False)
     for value, fraction in fractions.items():
-        keep = keep | ((F.col(label) == value) & below_fraction(F.col(row_id), fraction, seed))
+        keep = keep | ((F.col(label) == value) & below_fraction(df, row_id, fraction, seed))
     return df.filter(keep)
 
 
@@ -153,4 +159,4 @@ def union_strata(*strata: DataFrame) -> DataFrame:
 
 def shuffle_rows(df: DataFrame, row_id: str = ROW_ID, seed: int = 42) -> DataFrame:
     """Random but repeatable row order: a range-partitioned sort on the hash of the id."""
-    return df.orderBy(sample_hash(F.col(row_id), seed), row_id)
+    return df.orderBy(sample_hash(df, row_id, seed), row_id)

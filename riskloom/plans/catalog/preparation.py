@@ -446,7 +446,7 @@ _ONE_HOT_SQL = ", ".join(
 def onehot_encode(spark, sf):
     columns = [*_POINTS, "gender", "trans_date", "category", "state"]
     cleaned = prepare.clean_text_columns(transactions(spark, sf, columns))
-    rows = prepare.transform(cleaned).select("trans_num", *_ONE_HOT_VALUES)
+    rows = write_table(prepare.transform(cleaned).select("trans_num", *_ONE_HOT_VALUES), "prepared")
     vocabulary = encode.collect_vocabulary(encode.onehot_vocabulary(rows))
     return encode.onehot_encode(rows, vocabulary)
 
@@ -510,7 +510,7 @@ _ENCODED_OUT = ", ".join(f"coalesce(c_{c}.code, -1) AS {c}_encoded" for c in _CO
     ),
 )
 def label_encode(spark, sf):
-    rows = prepared_rows(spark, sf, _CODED).select("trans_num", *_CODED)
+    rows = write_table(prepared_rows(spark, sf, _CODED).select("trans_num", *_CODED), "prepared")
     return encode.label_encode(rows, encode.fit_labels(rows))
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Fallback folders of local sessions, by application id.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def get_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and UTC as its time zone."""
@@ -42,9 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="riskloom-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

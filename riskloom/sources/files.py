@@ -57,11 +57,11 @@ def bernoulli_rows(df: DataFrame, fraction: float, row_id: str, seed: int = 42)
     The draw is a hash of the row id, so a re-run task or a different partitioning picks the same
     rows, and the scan keeps its narrow plan.
     """
-    return df.filter(below_fraction(F.col(row_id), fraction, seed))
+    return df.filter(below_fraction(df, row_id, fraction, seed))
 
 
-def below_fraction(row_id: Column, fraction: float, seed: int = 42) -> Column:
-    return sample_hash(row_id, seed) < F.lit(int(fraction * 4294967296))
+def below_fraction(df: DataFrame, row_id: str, fraction: float, seed: int = 42) -> Column:
+    return sample_hash(df, row_id, seed) < F.lit(int(fraction * 4294967296))
 
 
 def row_count(df: DataFrame) -> DataFrame:

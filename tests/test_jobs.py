@@ -98,3 +98,20 @@ def test_class_weights_balance_the_classes(spark):
     sums = model.add_class_weight(rows, balanced=True).groupBy("is_fraud").agg(F.sum(model.WEIGHT).alias("w"))
     a, b = [r["w"] for r in sums.collect()]
     assert a == pytest.approx(b)
+
+
+def test_local_session_without_a_shared_folder_makes_its_own(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Local:
+        conf, sparkContext = Conf(), spark.sparkContext
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "yarn", "applicationId": "x"})
+
+    assert session.scratch_root(Local) == session.scratch_root(Local)
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Cluster)

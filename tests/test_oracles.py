@@ -7,7 +7,7 @@ from oracle_check import compare
 
 from riskloom.plans.catalog import ORACLES, QUERIES
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")  # all one-hot values occur here
 
 
 @pytest.mark.parametrize("name", list(ORACLES))

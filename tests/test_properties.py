@@ -227,3 +227,19 @@ def test_haversine_of_known_distance(spark):
     far, near = [r[0] for r in df.select(haversine_km(*map(F.col, "abcd"))).collect()]
     assert far == pytest.approx(math.pi * 6371)
     assert near == pytest.approx(878, abs=5)
+
+
+def test_text_row_ids_can_be_sampled(spark):
+    df = labelled(spark, 600, 60).withColumn("trans_num", F.concat(F.lit("t-"), F.col("trans_num")))
+    sample = sampling.stratified_sample(df, 100).collect()
+    assert len(sample) == 100 and sum(r["is_fraud"] for r in sample) == 10
+
+
+def test_hot_bucket_of_copies_is_counted_once_per_value(spark):
+    # a third of all rows share one amount; quantiles and the distribution stay exact
+    data = [(0, 9.99)] * 300 + [(0, float(i)) for i in range(600)]
+    df = spark.createDataFrame(data, "is_fraud int, amt double")
+    values = sorted(v for _, v in data)
+    assert ordered.quantiles(df, ["amt"], [0.5]).first()["q50"] == pytest.approx(np.quantile(values, 0.5))
+    hot = distribution.amount_cdf(df).filter("amt = 9.99").first()
+    assert hot["n"] == 300 and hot["cdf_first"] == pytest.approx(10 / 899)
