@@ -398,6 +398,18 @@ def amount_features(spark, sf):
     return features.add_amount_features(placed(spark, sf, ["amt"])).select(*_AMOUNT_COLUMNS)
 
 
+@query(
+    "outlier_share",
+    oracle(
+        f"""SELECT CAST(sum(is_outlier_iqr) AS BIGINT) AS outliers,
+              {r6('avg(is_outlier_iqr) * 100')} AS outlier_pct FROM feats""",
+        "feats",
+    ),
+)
+def outlier_share(spark, sf):
+    return features.outlier_share(features.add_amount_features(placed(spark, sf, ["amt"])))
+
+
 _INTERACTIONS = (
     "night_x_high_value", "weekend_x_high_value", "outlier_x_night", "high_value_x_business_hours",
 )
@@ -514,6 +526,45 @@ def label_encode(spark, sf):
     return encode.label_encode(rows, encode.fit_labels(rows))
 
 
+@query(
+    "onehot_mapping",
+    oracle(
+        """SELECT col AS "column", 'one-hot' AS encoding_type, count(*) AS num_columns_created,
+             string_agg(value, '|' ORDER BY value) AS unique_values,
+             string_agg(col || '_' || value, '|' ORDER BY col || '_' || value) AS column_names
+           FROM (SELECT DISTINCT 'gender' AS col, gender AS value FROM clean WHERE gender IS NOT NULL
+                 UNION ALL SELECT DISTINCT 'category', category FROM clean WHERE category IS NOT NULL)
+           GROUP BY col""",
+        "clean",
+    ),
+)
+def onehot_mapping(spark, sf):
+    """The encoding map, stored as JSON and read again."""
+    cleaned = prepare.clean_text_columns(transactions(spark, sf, ["gender", "category"]))
+    mapping = encode.onehot_mapping(encode.onehot_vocabulary(cleaned))
+    path = scratch_path(spark, "onehot-mapping")
+    files.write_report(mapping, path, "json")
+    stored = files.read_report(spark, path, mapping.schema, "json")
+    joined = {c: F.array_join(c, "|") for c in ("unique_values", "column_names")}
+    return stored.withColumns(joined)
+
+
+@query(
+    "label_mapping",
+    oracle(
+        """SELECT col AS "column", 'label' AS encoding_type, count(*) AS num_unique_values,
+             string_agg(CASE WHEN code < 10 THEN value END, '|' ORDER BY code) AS sample_values
+           FROM codes GROUP BY col""",
+        "prepared",
+        extra={"codes": _CODES},
+    ),
+)
+def label_mapping(spark, sf):
+    vocabulary = encode.fit_labels(prepared_rows(spark, sf, _CODED))
+    mapping = encode.label_mapping(vocabulary)
+    return mapping.withColumn("sample_values", F.array_join("sample_values", "|"))
+
+
 # ---- the whole flow
 
 _FLOW = {

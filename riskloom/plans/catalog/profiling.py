@@ -9,6 +9,8 @@ from riskloom.plans.catalog.preparation import feature_rows, prepared_rows
 from riskloom.plans.catalog.registry import query
 from riskloom.plans.catalog.sqltext import oracle, r, r6, rate, ratio
 from riskloom.schema import RAW_SCHEMA, RISK_COLUMNS
+from riskloom.session import scratch_path
+from riskloom.sources import files
 from riskloom.sources.transactions import read_table, transactions
 
 # ---- table profile
@@ -242,6 +244,14 @@ def fraud_by_hour(spark, sf):
     return _hourly(spark, sf)
 
 
+@query("report_roundtrip", oracle("SELECT * FROM hourly", "timed", extra=_BY))
+def report_roundtrip(spark, sf):
+    """A finished report, stored as CSV and read again."""
+    report, path = _hourly(spark, sf), scratch_path(spark, "report")
+    files.write_report(report, path, "csv")
+    return files.read_report(spark, path, report.schema, "csv")
+
+
 @query("fraud_by_weekday", oracle("SELECT * EXCLUDE (place) FROM weekly", "timed", extra=_BY))
 def fraud_by_weekday(spark, sf):
     return risk.fraud_by_weekday(_dated(spark, sf))

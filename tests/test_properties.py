@@ -243,3 +243,9 @@ def test_hot_bucket_of_copies_is_counted_once_per_value(spark):
     assert ordered.quantiles(df, ["amt"], [0.5]).first()["q50"] == pytest.approx(np.quantile(values, 0.5))
     hot = distribution.amount_cdf(df).filter("amt = 9.99").first()
     assert hot["n"] == 300 and hot["cdf_first"] == pytest.approx(10 / 899)
+
+
+def test_sketched_quantiles_are_close(spark):
+    df = spark.range(10001).select(F.col("id").cast("double").alias("x"))
+    row = ordered.approx_quantiles(df, "x", [0.25, 0.5]).first()
+    assert row["q25"] == pytest.approx(2500, abs=5) and row["q50"] == pytest.approx(5000, abs=5)
