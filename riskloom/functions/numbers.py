@@ -39,14 +39,16 @@ def value_bins(name: str) -> dict[str, Column]:
     mantissa = f"(abs({name}) / pow(2D, {exponent}) - 1D)"
     side = f"if({name} < 0, -1, 1)"
     edge = f"isnan({name}) OR abs({name}) = double('infinity')"
+    # coalesce makes the bins non-null, so that joins on them add no filter which the optimizer would
+    # evaluate on every row below the aggregate
     return {
         "_b1": F.expr(
-            f"""CASE WHEN {name} = 0 THEN 0L WHEN {edge} THEN {side} * 1000000L
-                ELSE {side} * ({exponent} * 64 + floor({mantissa} * 64D) + 100000L) END"""
+            f"""coalesce(CASE WHEN {name} = 0 THEN 0L WHEN {edge} THEN {side} * 1000000L
+                ELSE {side} * ({exponent} * 64 + floor({mantissa} * 64D) + 100000L) END, 0L)"""
         ),
         "_b2": F.expr(
-            f"""CASE WHEN {name} = 0 OR {edge} THEN 0L
-                ELSE {side} * floor({mantissa} * 1073741824D) END"""
+            f"""coalesce(CASE WHEN {name} = 0 OR {edge} THEN 0L
+                ELSE {side} * floor({mantissa} * 1073741824D) END, 0L)"""
         ),
     }
 
