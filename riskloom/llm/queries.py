@@ -7,17 +7,43 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe
-from riskloom.llm.common import table
+from riskloom.llm import bpe, decontaminate, html_extract, langid, pii, quality
+from riskloom.llm.common import hash_fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digest_texts(docs, public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_bpe": op2_bpe}
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = hash_fold("doc_id", 4, 2)
+    return langid.identify(docs, langid.fit(docs.filter(~held_out)), held_out)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels, hash_fold("doc_id", 5, 0))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.report(decontaminate.scan(docs, benchmark))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_html, op2_bpe, op3_langid, op7_quality, op8_decontaminate, op9_pii)
+}
 
 ORACLES: dict[str, str] = {}
