@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, decontaminate, html_extract, langid, pii, quality
+from riskloom.llm import bpe, decontaminate, html_extract, langid, lm, pii, quality, secrets, simhash, vectors
 from riskloom.llm.common import hash_fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +28,18 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs.filter(~held_out)), held_out)
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), hash_fold("doc_id", 5, 1))
+
+
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.classify(docs, labels, hash_fold("doc_id", 5, 0))
@@ -42,8 +54,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.labelled_findings(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html, op2_bpe, op3_langid, op7_quality, op8_decontaminate, op9_pii)
+    f.__name__: f
+    for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets)
 }
 
 ORACLES: dict[str, str] = {}
