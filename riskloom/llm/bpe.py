@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 
 from riskloom.llm.common import per_text
 
-CACHE_CHUNKS = 600_000
-#: Where Python's own white space and letters differ from the pattern's, texts go the slow way.
-_ADJACENT = re.compile(r"\s\s|[\x1c-\x1f]")
+CACHE_CHUNKS = 400_000
+_BITS = 20
+#: In chunks between spaces: where white space meets white space, here or at the next space.
+_MEETS = re.compile(r"\A\Z|\A\s|\s\Z|\s\s|[\x1c-\x1f]")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,16 +56,22 @@ class Prefixes:
         return self.coder.trace(self.last)
 
 
-class _Apart(dict):
-    """Remembers which neighbouring tokens stay apart."""
+class _Meets(Exception):
+    """The chunk's pieces may depend on what stands around it."""
 
-    def __init__(self, find: Callable[[int, int], bool]) -> None:
-        self.find = find
 
-    def __missing__(self, pair: tuple[int, int]) -> bool:
-        if len(self) > CACHE_CHUNKS:
+class _Known(dict):
+    """Remembers answers. When it is full, the older half goes, but for what is asked for again."""
+
+    def __init__(self, find: Callable) -> None:
+        self.find, self.old = find, {}
+
+    def __missing__(self, key):  # noqa: ANN001, ANN204
+        if len(self) >= CACHE_CHUNKS:
+            self.old = dict(self)
             self.clear()
-        self[pair] = known = self.find(*pair)
+        known = self.old.get(key)
+        self[key] = known = self.find(key) if known is None else known
         return known
 
 
@@ -76,16 +83,21 @@ class Coder:
         self.pieces = regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.suffixes = ahocorasick.Automaton()
+        self.single = {}
         for token, rank in ranks.items():
-            self.suffixes.add_word(token.decode("latin-1"), (len(token), rank))
+            if len(token) > 1:
+                self.suffixes.add_word(token.decode("latin-1"), (len(token), rank))
+            else:
+                self.single[token.decode("latin-1")] = rank
         self.suffixes.make_automaton()
         self.sizes = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
-        self.apart = _Apart(self._pair)
-        self.cache: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
+        self.apart: dict[int, bool] = {}
+        self.chunks = _Known(self._after_space)
+        self.known = _Known(lambda x: self.piece(x.encode()))
+        self.names = {i: str(i) for i in self.bytes_of}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
                 for cut in range(1, len(token)):
@@ -130,16 +142,31 @@ class Coder:
     def extend(self, data: bytes, last: list[int], start: int) -> None:
         """Appends to `last` the last token of each prefix of `data` that ends after `start`."""
         base = max(0, start - self.longest + 1)
-        apart, add, done = self.apart, last.append, start - base
-        for end, (size, token) in self.suffixes.iter(data[base:].decode("latin-1")):
-            if end == done:
-                before = base + end - size
-                if before < 0 or apart[last[before], token]:
-                    add(token)
+        text = data[base:].decode("latin-1")
+        known, single, add, done = self.apart.get, self.single, last.append, start - base
+        for end, (size, token) in self.suffixes.iter(text):
+            if end >= done:
+                while done < end:  # no longer token ends here
+                    add(single[text[done]])
                     done += 1
-        done += base
-        if done != len(data) or len(last) != done:
-            raise ValueError("the ranks lack a single byte")
+                before = base + end - size
+                if before >= 0:
+                    left = last[before]
+                    apart = known(left << _BITS | token)
+                    if apart is None:
+                        apart = self._learn(left, token)
+                    if not apart:
+                        continue
+                add(token)
+                done += 1
+        for x in text[done:]:
+            add(single[x])
+
+    def _learn(self, left: int, right: int) -> bool:
+        if len(self.apart) > CACHE_CHUNKS:
+            self.apart.clear()
+        known = self.apart[left << _BITS | right] = self._pair(left, right)
+        return known
 
     def trace(self, last: list[int]) -> list[int]:
         out, at, sizes = [], len(last) - 1, self.sizes
@@ -161,17 +188,15 @@ class Coder:
         return self.trace(last)
 
     def chunk(self, text: str) -> list[int]:
-        """Ids of a text whose pieces do not depend on what stands around it."""
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        out: list[int] = []
-        for x in self.pieces.findall(text):
-            ids = known.get(x)
-            if ids is None:
-                ids = known[x] = self.piece(x.encode())
-            out += ids
-        return out
+        """Ids of a text, piece by piece."""
+        return list(chain.from_iterable(map(self.known.__getitem__, self.pieces.findall(text))))
+
+    def _after_space(self, text: str) -> list[int]:
+        if text.isascii() and text.isalpha():  # one piece
+            return self.piece((" " + text).encode())
+        if _MEETS.search(text):
+            raise _Meets
+        return self.chunk(" " + text)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text.
@@ -179,22 +204,14 @@ class Coder:
         A piece that holds a space holds it in front, or is white space only. So where no two white space
         characters meet, the text falls into chunks before each space, and repeated chunks are encoded once.
         """
-        if not text:
-            return []
-        if _ADJACENT.search(text) or text[-1] == " ":
-            return self.chunk(text)
-        cache = self.cache
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
         first, *rest = text.split(" ")
         try:
-            return [*self.chunk(first), *chain.from_iterable([cache[x] for x in rest])]
-        except KeyError:
-            for x in set(rest):
-                if x not in cache:
-                    plain = x.isascii() and x.isalpha()  # one piece
-                    cache[x] = self.piece((" " + x).encode()) if plain else self.chunk(" " + x)
-            return [*self.chunk(first), *chain.from_iterable([cache[x] for x in rest])]
+            return [*self.chunk(first), *chain.from_iterable(map(self.chunks.__getitem__, rest))]
+        except _Meets:
+            return self.chunk(text)
+
+    def named(self, ids: list[int]) -> str:
+        return ",".join(map(self.names.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -207,7 +224,7 @@ def coder(path: str, pattern: str) -> Coder:
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids (array of token ids) and decoded (the bytes that the ids give back) of every whole text.
+    """doc_id, n_tokens, ids (array of token ids) and round_trip (the ids give back the text) of every whole text.
 
     A null text counts as empty and has no ids. Equal rows give equal rows. Columns other than doc_id and text
     are not read. `path` must be readable on the executors, as a library's own files are.
@@ -216,9 +233,10 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(doc_ids: list, texts: list) -> dict:
         tool = coder(path, pattern)
         ids = [tool.encode(t or "") for t in texts]
-        return {"doc_id": doc_ids, "ids": ids, "decoded": [tool.decode(x) for x in ids]}
+        same = [tool.decode(x) == (t or "").encode() for t, x in zip(texts, ids, strict=True)]
+        return {"doc_id": doc_ids, "n_tokens": [len(x) for x in ids], "ids": ids, "round_trip": same}
 
-    return per_text(docs, ["doc_id", "text"], "doc_id long, ids array<int>, decoded binary", work)
+    return per_text(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids array<int>, round_trip boolean", work)
 
 
 def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -230,7 +248,7 @@ def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for text in texts:
             ids = tool.encode(text or "")
             out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+            out["ids_sha256"].append(hashlib.sha256(tool.named(ids).encode()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(tool.decode(ids)).hexdigest())
         return out
 
