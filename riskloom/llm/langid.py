@@ -22,6 +22,7 @@ from riskloom.llm.common import SLICE_ROWS, per_text
 PROFILE_SIZE = 400
 UNKNOWN = "und"
 _BITS = 21
+_BLANK = 1
 
 
 @lru_cache(maxsize=1)
@@ -35,15 +36,15 @@ def ngrams(text: str) -> np.ndarray:
     letter = _letters()[codes]
     if not letter.any():
         return np.empty(0, np.int64)
-    codes[~letter] = 0
+    codes[~letter] = _BLANK
     kept = letter.copy()
     kept[1:] |= letter[:-1]  # the first blank after a word
-    codes = np.concatenate([[0], codes[kept], [0]])
-    if codes[-2] == 0:
+    codes = np.concatenate([[_BLANK], codes[kept], [_BLANK]])
+    if codes[-2] == _BLANK:
         codes = codes[:-1]
     two = codes[:-1] << _BITS | codes[1:]
-    three = (two[:-1] << _BITS | codes[2:])[codes[1:-1] != 0]
-    return np.concatenate([codes[codes != 0], two, three])
+    three = (two[:-1] << _BITS | codes[2:])[codes[1:-1] != _BLANK]
+    return np.concatenate([codes[codes != _BLANK], two, three])
 
 
 def ranked(text: str, size: int = PROFILE_SIZE) -> np.ndarray:
