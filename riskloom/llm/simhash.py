@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
 
 def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Places of the edges of a spanning forest of the links between the fingerprints."""
+    fps = fps.view(np.uint64)  # of signed numbers, numpy counts the bits of the absolute value
     left = np.arange(len(fps))
     edges = []
     while len(left):
@@ -94,7 +95,8 @@ def _link_sorted(radius: int):  # noqa: ANN202
         starts = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]).any(1)])) if len(bucket) else np.empty(0, int)
         sizes = np.diff(np.concatenate([starts, [len(bucket)]]))
         twos = starts[sizes == 2]
-        twos = twos[np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= radius]
+        apart = (fps[twos] ^ fps[twos + 1]).view(np.uint64)
+        twos = twos[np.bitwise_count(apart) <= radius]
         a, b = [ids[twos]], [ids[twos + 1]]
         for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             if pairs := forest(fps[start : start + size], radius):
@@ -111,8 +113,8 @@ def _link_sorted(radius: int):  # noqa: ANN202
                 continue
             last = int((rows[:, :2] == rows[-1, :2]).all(1).argmax())  # where the last bucket starts
             rest, rows = rows[last:], rows[:last]
-            yield edges_of(rows[:, :2], rows[:, 2], rows[:, 3])
-        yield edges_of(rest[:, :2], rest[:, 2], rest[:, 3])
+            yield edges_of(rows[:, :2], np.ascontiguousarray(rows[:, 2]), rows[:, 3])
+        yield edges_of(rest[:, :2], np.ascontiguousarray(rest[:, 2]), rest[:, 3])
 
     return run
 
