@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.session import write_table
+
 SLICE_ROWS = 256
 
 
@@ -63,17 +64,9 @@ def _top_level(schema: str) -> list[str]:
     return [*parts, word]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which the driver and all executors reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared folder and reads it again: cuts the lineage and fixes the rows."""
-    spark = df.sparkSession
-    path = shared_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Writes `df` to the shared folder and reads it again: cuts the lineage and fixes the rows.
+
+    The folder is the one in spark.checkpoint.dir; only a local session may go without.
+    """
+    return write_table(df, "text")
