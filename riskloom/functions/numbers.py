@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 
+# Shifts and odd factors below 2^31 of the rounds that mix a 32-bit word.
+MIXING = ((16, 1540483477), (15, 1103515245), (16, 668265263))
+WORD = 0xFFFFFFFF
+
+
 def round_half_even(col: Column, digits: int) -> Column:
     """Scale, round to the even neighbour, scale back: the rounding of numeric array libraries."""
     scale = float(10**digits)
@@ -34,8 +39,10 @@ def value_bins(name: str) -> dict[str, Column]:
     ``_b2`` holds 30 bits of the mantissa: under 2^24 values per ``_b1``, and at most 2^22 different
     doubles share both. These bounds need no statistics and hold for any distribution.
     """
-    exponent = f"floor(log2(abs({name})))"
-    # an exponent off by one next to a power of two shifts the mantissa below 0 and keeps the order
+    # the logarithm is off by one beside some powers of two; the quotient tells, and is exact
+    guess = f"floor(log2(abs({name})))"
+    quotient = f"(abs({name}) / pow(2D, {guess}))"
+    exponent = f"({guess} + CASE WHEN {quotient} < 1D THEN -1 WHEN {quotient} >= 2D THEN 1 ELSE 0 END)"
     mantissa = f"(abs({name}) / pow(2D, {exponent}) - 1D)"
     side = f"if({name} < 0, -1, 1)"
     edge = f"isnan({name}) OR abs({name}) = double('infinity')"
@@ -54,12 +61,24 @@ def value_bins(name: str) -> dict[str, Column]:
 
 
 def sample_hash(df: DataFrame, row_id: str, seed: int = 42) -> Column:
-    """A number in [0, 2^32) that spreads row ids.
+    """A number in [0, 2^32) that spreads row ids; another seed gives an unrelated order.
 
-    Integer ids need only integer arithmetic below 2^63, so any SQL engine gives the same value. Other
-    ids, such as text, are hashed to an integer first.
+    Both halves of the id and the seed are mixed by shifts, exclusive or and multiplications below 2^63,
+    so any SQL engine gives the same value. Ids that are no integers, such as text, are hashed to one first.
     """
     integral = isinstance(df.schema[row_id].dataType, IntegralType)
     number = F.col(row_id).cast("long") if integral else F.xxhash64(row_id)
-    spread = (number % F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed * 40503)
-    return F.pmod(spread, F.lit(4294967296))
+
+    def round_of(word: Column, shift: int, factor: int) -> Column:
+        return (word.bitwiseXOR(F.shiftright(word, shift)) * F.lit(factor)).bitwiseAND(F.lit(WORD))
+
+    upper = F.shiftright(number, 32).bitwiseAND(F.lit(WORD)).bitwiseXOR(F.lit(seed_word(seed)))
+    mixed = number.bitwiseAND(F.lit(WORD)).bitwiseXOR(round_of(upper, *MIXING[-1]))
+    for shift, factor in MIXING:
+        mixed = round_of(mixed, shift, factor)
+    return mixed.bitwiseXOR(F.shiftright(mixed, 16))
+
+
+def seed_word(seed: int) -> int:
+    """32 bits for a seed, far apart for seeds that are close."""
+    return (seed * 2654435761 + 374761393) & WORD

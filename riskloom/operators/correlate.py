@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -10,64 +11,75 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskloom.operators.distribution import even_bins
 from riskloom.schema import LABEL
 
+#: Sums of one aggregate, which scans the table once.
+SUMS_AT_ONCE = 400
+
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Tall ``(feature1, feature2, correlation)`` for the given column pairs.
 
-    Each pair uses the rows where both values are known; a constant column gives null. Rows are grouped
-    by which columns are known, a handful of groups, and each group keeps plain sums of products of the
-    centred values. That is one pass with one cheap sum per pair, whatever nulls there are.
+    Each pair uses the rows where both values are known; a constant column, or no common row, gives null.
+    The sums of products of the centred values are plain sums in ungrouped aggregates, so a task sends one
+    row whatever nulls there are. A first pass counts the nulls and takes the means: sums over the rows where
+    another column is known are only made for columns that have nulls.
     """
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
     at = {c: i for i, c in enumerate(names)}
-    every = range(len(names))
-    values = df.selectExpr(*[f"cast(`{c}` AS double) AS x{at[c]}" for c in names])
-    means = values.select(F.expr(f"array({', '.join(f'avg(x{i})' for i in every)})")).scalar()
-    centred = values.withColumn("_mean", means).selectExpr(
-        f"array({', '.join(f'x{i} IS NOT NULL' for i in every)}) AS _known",
-        *[f"coalesce(x{i} - _mean[{i}], 0D) AS d{i}" for i in every],
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for c, i in at.items()])
+    facts = values.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(f"x{i}").alias(f"n{i}") for i in at.values()],
+        *[F.avg(f"x{i}").alias(f"m{i}") for i in at.values()],
+    ).first()
+    gaps = {i for i in at.values() if facts[f"n{i}"] < facts["n"]}
+    centred = values.select(
+        *[F.coalesce(F.col(f"x{i}") - F.lit(facts[f"m{i}"]), F.lit(0.0)).alias(f"d{i}") for i in at.values()],
+        *[F.col(f"x{i}").isNotNull().cast("double").alias(f"k{i}") for i in gaps],
     )
-    products = list(
-        dict.fromkeys(
-            key
-            for a, b in pairs
-            for key in ((at[a], at[b]), (at[a], at[a]), (at[b], at[b]))
+
+    def total(term: str, *known: int) -> str:
+        """A sum over the rows where the given columns are known."""
+        factors = [term] if term else []
+        return "sum(" + " * ".join(factors + [f"k{i}" for i in sorted(set(known) & gaps)] or ["1D"]) + ")"
+
+    sums_of = {
+        (a, b): (
+            total("", i, j), total(f"d{i}", j), total(f"d{j}", i), total(f"d{i} * d{i}", j), total(f"d{j} * d{j}", i),
+            total(f"d{min(i, j)} * d{max(i, j)}"),
         )
-    )
-    place = {key: i for i, key in enumerate(products)}
-    sums = centred.groupBy("_known").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.expr(f"array({', '.join(f'sum(d{i})' for i in every)})").alias("_s"),
-        F.expr(f"array({', '.join(f'sum(d{i} * d{j})' for i, j in products)})").alias("_p"),
-    )
-    # name and position of the columns and of their three products, one entry per pair
-    lookup = ", ".join(
-        f"named_struct('feature1', '{a}', 'feature2', '{b}', 'i', {at[a]}, 'j', {at[b]}, "
-        f"'ij', {place[at[a], at[b]]}, 'ii', {place[at[a], at[a]]}, 'jj', {place[at[b], at[b]]})"
         for a, b in pairs
-    )
-    per_pair = (
-        sums.selectExpr("*", f"inline(array({lookup}))")
-        .filter("_known[i] AND _known[j]")
-        .groupBy("feature1", "feature2")
-        .agg(
-            F.sum("_n").alias("n"),
-            F.expr("sum(_s[i])").alias("sx"),
-            F.expr("sum(_s[j])").alias("sy"),
-            F.expr("sum(_p[ii])").alias("sxx"),
-            F.expr("sum(_p[jj])").alias("syy"),
-            F.expr("sum(_p[ij])").alias("sxy"),
-        )
-        .selectExpr(
-            "feature1",
-            "feature2",
-            """try_divide(sxy - sx * sy / n,
-                 sqrt(greatest((sxx - sx * sx / n) * (syy - sy * sy / n), 0D))) AS correlation""",
+        for i, j in [(at[a], at[b])]
+    }
+    blocks: list[tuple[list, dict]] = [([], {})]
+    for pair, sums in sums_of.items():
+        lines, place = blocks[-1]
+        if len(place) + len(sums) > SUMS_AT_ONCE:
+            lines, place = [], {}
+            blocks.append((lines, place))
+        spots = [place.setdefault(s, len(place)) for s in sums]
+        lines.append((*pair, *spots))
+    parts = []
+    for lines, place in blocks:
+        made = centred.selectExpr(*[f"{s} AS s{i}" for s, i in place.items()])
+        parts.append(
+            made.selectExpr(
+                "inline(array("
+                + ", ".join(
+                    f"named_struct('feature1', '{a}', 'feature2', '{b}', 'n', s{n}, 'sx', s{sx}, 'sy', s{sy}, "
+                    f"'sxx', s{sxx}, 'syy', s{syy}, 'sxy', s{sxy})"
+                    for a, b, n, sx, sy, sxx, syy, sxy in lines
+                )
+                + "))"
+            )
         )
+    return reduce(DataFrame.unionByName, parts).selectExpr(
+        "feature1",
+        "feature2",
+        """try_divide(sxy - try_divide(sx * sy, n), sqrt(greatest(
+             (sxx - try_divide(sx * sx, n)) * (syy - try_divide(sy * sy, n)), 0D))) AS correlation""",
     )
-    # a pair without any common row still gets its line
-    listed = df.sparkSession.range(1).selectExpr(f"inline(array({lookup}))")
-    return listed.select("feature1", "feature2").join(per_pair, ["feature1", "feature2"], "left")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

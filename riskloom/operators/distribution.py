@@ -47,7 +47,7 @@ def _with_density(hist: DataFrame, by: str, width: Column) -> DataFrame:
     totals = hist.groupBy(by).agg(F.sum("count").alias("_all"))
     # one row per class
     return (
-        hist.join(F.broadcast(totals), by)
+        hist.join(totals, by)
         .withColumn(
             "density",
             F.coalesce(F.try_divide(F.col("count"), F.col("_all") * width), F.lit(0.0)),
@@ -101,7 +101,7 @@ def amount_boxplot(df: DataFrame, label: str = LABEL, column: str = "amt") -> Da
     ).drop("column")
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     # one box per class
-    near = values.join(F.broadcast(boxes), label).filter(
+    near = values.join(boxes, label).filter(
         F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     )
     return near.groupBy(label, "q25", "q50", "q75").agg(

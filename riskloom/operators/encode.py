@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
@@ -32,14 +33,14 @@ def onehot_mapping(vocabulary: DataFrame) -> DataFrame:
     )
 
 
-def collect_vocabulary(vocabulary: DataFrame, max_values: int = 1000) -> dict[str, list[str]]:
-    """Bring the vocabulary to the driver, where it becomes column names. It must be small: more than
-    ``max_values`` entries raise an error instead of building an unusable table."""
-    rows = vocabulary.select("column", "value").limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} one-hot columns; use label encoding instead")
+def collect_vocabulary(vocabulary: DataFrame) -> dict[str, list[str]]:
+    """Bring the vocabulary to the driver, where it becomes column names of the wide form.
+
+    A table with a column per value needs their names in its schema. For columns with very many values ask
+    for ``onehot_vectors`` instead, which collects nothing.
+    """
     found: dict[str, list[str]] = {}
-    for row in sorted((r["column"], r["value"]) for r in rows):
+    for row in sorted((r["column"], r["value"]) for r in vocabulary.select("column", "value").collect()):
         found.setdefault(row[0], []).append(row[1])
     return found
 
@@ -54,6 +55,24 @@ def onehot_encode(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> Dat
     return df.select(*[c for c in columns if c not in vocabulary], *made)
 
 
+def onehot_vectors(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str] = ONE_HOT) -> DataFrame:
+    """One sparse vector ``<column>_onehot`` in place of each source column, for any number of values.
+
+    ``vocabulary`` is a written label vocabulary (``fit_labels``); its codes are the places in the vector.
+    Unseen values give zeros.
+    """
+    present = [c for c in columns if c in df.columns]
+    coded = label_encode(df, vocabulary, present)
+    for name in present:
+        codes = vocabulary.filter(F.col("column") == name).select(F.col("code").cast("double").alias("_place"))
+        # one more place, for unseen values, which the encoder leaves out as the last
+        unseen = codes.agg((F.coalesce(F.max("_place"), F.lit(-1.0)) + 1).alias("_place"))
+        encoder = OneHotEncoder(inputCol="_place", outputCol=f"{name}_onehot", dropLast=True).fit(codes.union(unseen))
+        place = F.when(F.col(f"{name}_encoded") >= 0, F.col(f"{name}_encoded")).otherwise(unseen.scalar())
+        coded = encoder.transform(coded.withColumn("_place", place.cast("double"))).drop("_place", f"{name}_encoded")
+    return coded
+
+
 def label_vocabulary(df: DataFrame, columns: Sequence[str] = LABEL_CODED) -> DataFrame:
     """Tall ``(column, value, code)``: sorted distinct values, null as ``'unknown'``, codes from 0.
 

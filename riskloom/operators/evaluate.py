@@ -64,7 +64,7 @@ def business_metrics(matrix: DataFrame) -> DataFrame:
         {
             "fraud_caught": tp,
             "fraud_missed": fn,
-            "fraud_detection_rate": safe_ratio(tp, tp + fn) * 100,
+            "caught_rate": safe_ratio(tp, tp + fn) * 100,
             "false_alarms": fp,
             "false_alarm_rate": safe_ratio(fp, fp + tn) * 100,
         }
@@ -127,7 +127,7 @@ def metrics_table(
     auc = _auc(per_score, by)
     if by:
         # one row per group
-        return class_metrics(matrix).join(F.broadcast(auc), list(by), "left")
+        return class_metrics(matrix).join(auc, list(by), "left")
     return class_metrics(matrix).withColumn("roc_auc", auc.scalar())
 
 

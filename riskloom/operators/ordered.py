@@ -115,14 +115,14 @@ def histogram_quantiles(
         .select(*group, "_b1", "_total", F.col("_from").alias("_base"))
     )
     second = (
-        binned.join(F.broadcast(first), [*group, "_b1"])
+        binned.join(first, [*group, "_b1"])
         .groupBy(*group, "_b1", "_b2", "_total", "_base")
         .agg(F.sum("n").alias("n"))
         .withColumn("_from", F.col("_base") + upto([*group, "_b1"], "_b2") - F.col("n"))
         .filter(hit)
         .select(*group, "_b1", "_b2", "_total", F.col("_from").alias("_base"))
     )
-    placed = binned.join(F.broadcast(second), [*group, "_b1", "_b2"]).withColumn(
+    placed = binned.join(second, [*group, "_b1", "_b2"]).withColumn(
         "_from", F.col("_base") + upto([*group, "_b1", "_b2"], "value") - F.col("n")
     )
 
@@ -189,7 +189,7 @@ def dense_codes(values: DataFrame, numeric: Iterable[str] = ()) -> DataFrame:
     )
     place = F.row_number().over(Window.partitionBy("column", "_part").orderBy("_number", "value"))
     # one row per column and part
-    return parts.join(F.broadcast(offsets), ["column", "_part"]).select(
+    return parts.join(offsets, ["column", "_part"]).select(
         "column", "value", (F.col("_offset") + place - 1).cast("long").alias("code")
     )
 

@@ -76,7 +76,7 @@ def reduce_categories(df: DataFrame, kept: DataFrame, columns: Iterable[str] = R
             continue
         listed = kept.filter(F.col("column") == name).select(F.col("value").alias("_kept"))
         df = (
-            df.join(F.broadcast(listed), F.col(name) == F.col("_kept"), "left")
+            df.join(listed, F.col(name) == F.col("_kept"), "left")
             .withColumn(name, F.coalesce("_kept", F.lit("other")))
             .drop("_kept")
         )

@@ -105,7 +105,7 @@ def numeric_describe(df: DataFrame, columns: Sequence[str] | None = None, ddof:
         "column", *[round_half_even(F.col(q), 2).alias(q) for q in ("q25", "q50", "q75")]
     )
     # one row per number column
-    return _moments(df, columns, ddof).join(F.broadcast(marks), "column", "left")
+    return _moments(df, columns, ddof).join(marks, "column", "left")
 
 
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -187,7 +187,7 @@ def amount_by_class(df: DataFrame, label: str = LABEL, column: str = "amt", ddof
     )
     marks = histogram_quantiles(value_histogram(known, [column], [label]), [0.25, 0.5, 0.75], [label])
     # two rows, one per class
-    both = spread.join(F.broadcast(marks), label).withColumnRenamed("q50", "median")
+    both = spread.join(marks, label).withColumnRenamed("q50", "median")
     metrics = ("count", "mean", "median", "std", "min", "max", "q25", "q75")
     lines = F.array(
         *[
@@ -221,7 +221,7 @@ def amount_class_difference(
         return F.when(F.col(name) > 0, "fraud higher").otherwise("fraud lower")
 
     return (
-        means.join(F.broadcast(medians), label)
+        means.join(medians, label)
         .agg(gap("mean").alias("mean_diff"), gap("q50").alias("median_diff"))
         .withColumn("mean_direction", side("mean_diff"))
         .withColumn("median_direction", side("median_diff"))

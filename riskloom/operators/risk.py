@@ -159,4 +159,4 @@ def risk_top_k(risk: DataFrame, k: int = 10) -> DataFrame:
     sizes = risk.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
     both = ranked("rate", "fraud_rate").unionByName(ranked("count", "fraud_count"))
     # one row per analysed column
-    return both.join(F.broadcast(sizes), "column")
+    return both.join(sizes, "column")

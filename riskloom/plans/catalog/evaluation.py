@@ -69,7 +69,7 @@ METRIC_EXPR = {
 }
 _METRICS_OUT = ", ".join(f"{r6(sql)} AS {name}" for name, sql in METRIC_EXPR.items())
 _BUSINESS_EXPR = {
-    "fraud_detection_rate": ratio("tp", "tp + fn") + " * 100",
+    "caught_rate": ratio("tp", "tp + fn") + " * 100",
     "false_alarm_rate": ratio("fp", "fp + tn") + " * 100",
 }
 
@@ -216,7 +216,7 @@ _REPORT_LINES = {
     "metrics": {m: m for m in (*METRIC_EXPR, "roc_auc")},
     "confusion_matrix": {c: c for c in ("tn", "fp", "fn", "tp")},
     "business_metrics": {
-        "fraud_caught": "tp", "fraud_missed": "fn", "fraud_detection_rate": "fraud_detection_rate",
+        "fraud_caught": "tp", "fraud_missed": "fn", "caught_rate": "caught_rate",
         "false_alarms": "fp", "false_alarm_rate": "false_alarm_rate",
     },
 }

@@ -5,6 +5,8 @@ They restate, independently of the Spark code, the transactions table and the st
 
 from __future__ import annotations
 
+from riskloom.functions.numbers import MIXING, WORD, seed_word
+
 # Values present in the test tables; they name the one-hot columns.
 CATEGORIES = ("click", "error", "purchase", "signup", "view")
 STATES = tuple(f"nation_{i}" for i in range(25))
@@ -33,7 +35,15 @@ def rate(part: str, total: str) -> str:
 
 
 def hashed(row_id: str, seed: int = 42) -> str:
-    return f"((({row_id} % 2147483648) * 2654435761 + {seed * 40503}) % 4294967296)"
+
+    def round_of(word: str, shift: int, factor: int) -> str:
+        return f"((xor({word}, {word} >> {shift}) * {factor}) & {WORD})"
+
+    upper = round_of(f"xor(({row_id} >> 32) & {WORD}, CAST({seed_word(seed)} AS BIGINT))", *MIXING[-1])
+    mixed = f"xor({row_id} & {WORD}, {upper})"
+    for shift, factor in MIXING:
+        mixed = round_of(mixed, shift, factor)
+    return f"xor({mixed}, {mixed} >> 16)"
 
 
 def _text(col: str) -> str:
@@ -69,18 +79,18 @@ _NIGHT = "hour(ts) IN (22, 23, 0, 1, 2, 3)"
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "src": (
         (),
-        """SELECT event_id AS trans_num, * FROM events
-           UNION ALL SELECT event_id + 10000000, * FROM events WHERE event_id % 200 = 0""",
+        """SELECT 2 * event_id AS trans_num, * FROM events
+           UNION ALL SELECT 2 * event_id + 1, * FROM events WHERE event_id % 200 = 0""",
     ),
     "txn": (
         ("src",),
         f"""SELECT trans_num, cc_num, ssn, acct_num, "first", "last", gender, street, city, state, zip,
               lat, long, city_pop, job, dob, profile, trans_date, trans_time, unix_time, category,
               merchant, amt,
-              lat + (trans_num % 200 - 100) / CAST(100.0 AS DOUBLE) AS merch_lat,
-              long + (trans_num % 200 - 100) / CAST(100.0 AS DOUBLE) AS merch_long, is_fraud
+              lat + (event_id % 200 - 100) / CAST(100.0 AS DOUBLE) AS merch_lat,
+              long + (event_id % 200 - 100) / CAST(100.0 AS DOUBLE) AS merch_long, is_fraud
             FROM (
-              SELECT trans_num, user_id AS cc_num,
+              SELECT trans_num, event_id, user_id AS cc_num,
                 lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') || '-'
                   || lpad(CAST((user_id * 7) % 100 AS VARCHAR), 2, '0') || '-'
                   || lpad(CAST((user_id * 13) % 10000 AS VARCHAR), 4, '0') AS ssn,

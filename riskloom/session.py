@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Paths of intermediate tables, in the order of their making.
+_MADE: list[str] = []
+
 # Fallback folders of local sessions, by application id.
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -51,9 +56,26 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A new, unused path below the shared folder. ``scratch_scope`` removes what is not ``kept``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if not kept:
+        _MADE.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the intermediate tables that were written within. Results must be used before."""
+    start = len(_MADE)
+    try:
+        yield
+    finally:
+        made = _MADE[start:]
+        del _MADE[start:]
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, made):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ _FROM_NATION = {"state"}
 # Row id, and the wall-clock text of the event time, which no session time zone can change.
 _BASE = (
     "*",
-    """explode(if(event_id % 200 = 0, array(event_id, event_id + 10000000), array(event_id)))
+    """explode(if(event_id % 200 = 0, array(2 * event_id, 2 * event_id + 1), array(2 * event_id)))
        AS copy_id""",
     "cast(ts AS string) AS clock",
 )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskloom.operators.cleanse import drop_columns
@@ -48,14 +50,17 @@ def run_prepare(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_fraud_by_hour(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Keep running totals per hour in the state store and replace the report after every batch."""
-    def publish(batch: DataFrame, _: int) -> None:
-        all_hours(batch).write.mode("overwrite").parquet(target)
+def run_report(counts: DataFrame, target: str, checkpoint: str, finish: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> None:
+    """Keep the running totals of ``counts`` in the state store and publish a report after every batch.
+
+    Each report goes to a folder of its own, named by the batch, and none is ever replaced by another's
+    content: readers see whole reports only, and a batch that runs again writes the same one.
+    """
+    def publish(batch: DataFrame, number: int) -> None:
+        finish(batch).write.mode("overwrite").parquet(f"{target}/batch={number:012d}")
 
     query = (
-        fraud_by(add_hour(stream), "trans_hour", "hour")
-        .writeStream.foreachBatch(publish)
+        counts.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .outputMode("complete")
         .trigger(availableNow=True)
@@ -64,6 +69,21 @@ def run_fraud_by_hour(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def run_fraud_by_hour(stream: DataFrame, target: str, checkpoint: str) -> None:
+    run_report(fraud_by(add_hour(stream), "trans_hour", "hour"), target, checkpoint, all_hours)
+
+
+def run_fraud_by_category(stream: DataFrame, target: str, checkpoint: str) -> None:
+    run_report(fraud_by(stream, "category"), target, checkpoint)
+
+
+def latest_report(spark: SparkSession, target: str) -> DataFrame:
+    """The report of the last batch."""
+    reports = spark.read.parquet(target)
+    last = reports.agg(F.max("batch")).scalar()
+    return reports.filter(F.col("batch") == last).drop("batch")
+
+
 def stream_prepare(spark: SparkSession, stream: DataFrame) -> DataFrame:
     target = scratch_path(spark, "stream-prepared")
     run_prepare(stream, target, scratch_path(spark, "stream-prepared-state"))
@@ -73,4 +93,10 @@ def stream_prepare(spark: SparkSession, stream: DataFrame) -> DataFrame:
 def stream_fraud_by_hour(spark: SparkSession, stream: DataFrame) -> DataFrame:
     target = scratch_path(spark, "stream-hours")
     run_fraud_by_hour(stream, target, scratch_path(spark, "stream-hours-state"))
-    return spark.read.parquet(target)
+    return latest_report(spark, target)
+
+
+def stream_fraud_by_category(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    target = scratch_path(spark, "stream-categories")
+    run_fraud_by_category(stream, target, scratch_path(spark, "stream-categories-state"))
+    return latest_report(spark, target)

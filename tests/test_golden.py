@@ -76,7 +76,7 @@ def test_best_model_depends_on_the_measure(spark):
 def test_business_metrics(spark):
     matrix = spark.createDataFrame([(12844631, 9764, 2099, 76498)], "tn long, fp long, fn long, tp long")
     got = evaluate.business_metrics(matrix).first()
-    assert got["fraud_detection_rate"] == pytest.approx(97.32941460870008)
+    assert got["caught_rate"] == pytest.approx(97.32941460870008)
     assert got["false_alarm_rate"] == pytest.approx(0.07595845623228475)
 
 

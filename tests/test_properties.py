@@ -1,15 +1,21 @@
 """Properties checked against brute force on small frames."""
 
 import math
+import os
 import random
+import struct
 
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from riskloom.operators import cleanse, distribution, encode, evaluate, ordered, prepare, sampling, validate
-from riskloom.sources.transactions import transactions
+from riskloom import session
+from riskloom.functions.numbers import sample_hash, value_bins
+from riskloom.operators import (
+    cleanse, correlate, distribution, encode, evaluate, ordered, prepare, sampling, validate,
+)
+from riskloom.sources.transactions import derive, transactions
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -174,10 +180,18 @@ def test_onehot_rows_sum_to_one_or_zero(spark, rows):
     assert all(r["s"] == (0 if r["trans_num"] % 7 == 0 else 1) for r in sums)
 
 
-def test_onehot_refuses_large_vocabularies(spark, rows):
-    vocabulary = encode.onehot_vocabulary(rows, ["street"])
-    with pytest.raises(ValueError):
-        encode.collect_vocabulary(vocabulary, max_values=10)
+def test_onehot_has_no_limit(spark):
+    many = spark.range(2000).selectExpr("id", "concat('v', id) AS street", "if(id % 2 = 0, 'a', NULL) AS gender")
+    vocabulary = encode.collect_vocabulary(encode.onehot_vocabulary(many, ["street"]))
+    assert len(vocabulary["street"]) == 2000
+    wide = encode.onehot_encode(many.filter("id < 3"), vocabulary)
+    assert len(wide.columns) == 2002
+    labels = encode.fit_labels(many.filter("id < 1990"), ["street", "gender"])
+    vectors = encode.onehot_vectors(many, labels, ["street", "gender"])
+    assert vectors.columns == ["id", "street_onehot", "gender_onehot"]
+    for row in vectors.collect():
+        assert row.street_onehot.size == 1990 and row.street_onehot.numNonzeros() == (row.id < 1990)
+        assert row.gender_onehot.size == 2 and row.gender_onehot.numNonzeros() == 1
 
 
 def test_label_codes_are_dense_and_sorted(spark, rows):
@@ -249,3 +263,73 @@ def test_sketched_quantiles_are_close(spark):
     df = spark.range(10001).select(F.col("id").cast("double").alias("x"))
     row = ordered.approx_quantiles(df, "x", [0.25, 0.5]).first()
     assert row["q25"] == pytest.approx(2500, abs=5) and row["q50"] == pytest.approx(5000, abs=5)
+
+
+def ordered_bins(spark, values):
+    rows = spark.createDataFrame([(float(v),) for v in values], "value double")
+    return [tuple(r) for r in rows.withColumns(value_bins("value")).orderBy("value").select("_b1", "_b2", "value").collect()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_value_bins_keep_the_order_of_doubles(spark, seed):
+    rng = random.Random(seed)
+    values = [struct.unpack("d", rng.randbytes(8))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    for k in range(-300, 301, 7):  # values within the bins beside a power of two, and its neighbours
+        p = 2.0**k
+        values += [p, math.nextafter(p, 0), math.nextafter(p, math.inf), p * 0.9999, p * 0.999, p * 0.99, p * 0.985, p * 1.001, -p, -p * 0.9999]
+    bins = ordered_bins(spark, values)
+    assert [b[:2] for b in bins] == sorted(b[:2] for b in bins)
+
+
+def test_area_and_quantiles_beside_a_power_of_two(spark):
+    low = (0.1 + 0.7) * 10  # 7.999999999999999
+    scored = spark.createDataFrame([(0, 7.9), (0, 7.95), (0, 7.99), (1, low)], "label int, score double")
+    assert evaluate.roc_auc(scored).first()["roc_auc"] == 1.0
+    values = spark.createDataFrame([(v,) for v in (7.9, 7.95, 7.99, low, 8.5)], "x double")
+    row = ordered.quantiles(values, ["x"], [0.25, 0.5, 0.75]).first()
+    assert (row.q25, row.q50, row.q75) == (7.95, 7.99, low)
+
+
+def test_sampling_hash_spreads_ids_and_seeds(spark):
+    ids = spark.range(100_000)
+    by_seed = {s: {r.id for r in ids.filter(sample_hash(ids, "id", s) < int(0.02 * 2**32)).collect()} for s in (42, 43, 44, 100)}
+    for s in (43, 44, 100):
+        assert len(by_seed[42] & by_seed[s]) < 40 + 4 * 40**0.5 + 20  # 40 by chance
+    for m in (97, 200, 233, 610):
+        quarter = (sample_hash(ids, "id", 7) < 2**30).cast("int")
+        shares = ids.groupBy((F.col("id") % m).alias("k")).agg(F.avg(quarter).alias("share"), F.count("*").alias("n")).collect()
+        assert all(abs(r.share - 0.25) < 5.5 * (0.25 * 0.75 / r.n) ** 0.5 for r in shares)
+
+
+def test_sampling_hash_tells_far_ids_apart(spark):
+    ids = spark.range(2000).selectExpr("explode(array(id, id + (1L << 31), id + (1L << 32), id + (1L << 40), -id - 1)) AS id").distinct()
+    assert ids.select(sample_hash(ids, "id").alias("h")).distinct().count() > 0.999 * ids.count()
+
+
+def test_transaction_ids_stay_unique_where_the_old_offset_met_them(spark):
+    events = spark.range(9_999_000, 10_001_000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 10 AS user_id", "'view' AS event_type", "1D AS value"
+    )
+    more = events.withColumn("event_id", F.col("event_id") - 9_999_000)
+    rows = derive(events.union(more), None, None, ["trans_num"])
+    assert rows.count() == rows.distinct().count() == 4000 + 20
+
+
+def test_correlations_of_half_empty_columns(spark):
+    names = [f"x{i}" for i in range(14)]
+    rows = spark.range(3000).select(*[F.when(F.xxhash64("id", F.lit(i)) % 2 == 0, F.sin(F.col("id") * (i + 1))).alias(n) for i, n in enumerate(names)])
+    found = correlate.correlation_matrix(rows, names)
+    frame = rows.toPandas().corr()
+    for r in found.collect():
+        assert r.correlation == pytest.approx(frame.loc[r.feature1, r.feature2], abs=1e-9)
+    plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "hashpartitioning" not in plan
+
+
+def test_scratch_is_empty_after_a_scope(spark):
+    with session.scratch_scope(spark):
+        path = session.scratch_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert os.path.exists(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
