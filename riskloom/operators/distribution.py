@@ -11,6 +11,7 @@ from riskloom.operators.ordered import (
     histogram_quantiles,
     running_totals,
     value_histogram,
+    value_rows,
 )
 from riskloom.schema import LABEL
 
@@ -57,8 +58,9 @@ def _with_density(hist: DataFrame, by: str, width: Column) -> DataFrame:
 
 
 def _class_values(df: DataFrame, label: str, column: str) -> DataFrame:
+    """Rows ``(label, value, n = 1)`` of the two classes; they collapse in the aggregate that follows."""
     known = df.filter(F.col(label).isin(0, 1))
-    return value_histogram(known, [column], [label]).select(label, "value", "n")
+    return value_rows(known, [column], [label]).select(label, "value", "n")
 
 
 def amount_histogram(
@@ -114,7 +116,8 @@ def amount_cdf(df: DataFrame, label: str = LABEL, column: str = "amt") -> DataFr
 
     One row per distinct value with the heights of its first and last copy.
     """
-    values = _class_values(df, label, column)
+    known = df.filter(F.col(label).isin(0, 1))
+    values = value_histogram(known, [column], [label]).select(label, "value", "n")
     totals = running_totals(values, "n", "value", [label])
     last = F.col("n_all") - 1
 

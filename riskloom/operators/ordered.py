@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.numbers import sample_hash, value_bins
+from riskloom.schema import LABEL
 from riskloom.session import write_table
 
 # Hash buckets of the exact-n cut: 2^18 of 2^32 hash values.
@@ -50,18 +51,20 @@ def running_totals(
     )
 
 
-def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Tall ``(by..., column, value, n)`` of non-null numeric values. Equal values collapse before the
-    shuffle, so a value held by a third of all rows costs one row per task."""
+def value_rows(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Tall ``(by..., column, value, n)`` of non-null numeric values, with n = 1 on every row."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    return (
-        df.select(*by, F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy(*by, "column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull())
+    return rows.withColumn("n", F.lit(1).cast("long"))
+
+
+def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Tall ``(by..., column, value, n)`` of non-null numeric values. Equal values collapse before the
+    shuffle, so a value held by a third of all rows costs one row per task."""
+    rows = value_rows(df, columns, by)
+    return rows.groupBy(*by, "column", "value").agg(F.sum("n").alias("n"))
 
 
 def fill_levels(
@@ -92,10 +95,13 @@ def histogram_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles from a ``value_histogram``: one row per (by, column).
 
-    Only the bins that hold a wanted position are opened, at most two per probability and level, so the
-    broadcast lists of opened bins stay tiny. ``by`` holds few values, such as the label.
+    The rows are counted per bin (``n`` may also be 1 on every row), and only the bins that hold a wanted
+    position are opened, at most two per probability, group and level. Their values are counted last, so no
+    exchange carries a row per distinct value. The lists of opened bins are broadcast where their size has a
+    bound: without ``by``, or by the two-class label.
     """
     group = [*by, "column"]
+    small = F.broadcast if set(by) <= {LABEL} else (lambda rows: rows)
     binned = histogram.withColumns(value_bins("value"))
     # quantile p stands at position (total - 1) * p, between its floor and its ceiling
     spots = {quantile_name(p): f"((_total - 1) * {float(p)}D)" for p in probs}
@@ -115,14 +121,16 @@ def histogram_quantiles(
         .select(*group, "_b1", "_total", F.col("_from").alias("_base"))
     )
     second = (
-        binned.join(first, [*group, "_b1"])
+        binned.join(small(first), [*group, "_b1"])
         .groupBy(*group, "_b1", "_b2", "_total", "_base")
         .agg(F.sum("n").alias("n"))
         .withColumn("_from", F.col("_base") + upto([*group, "_b1"], "_b2") - F.col("n"))
         .filter(hit)
         .select(*group, "_b1", "_b2", "_total", F.col("_from").alias("_base"))
     )
-    placed = binned.join(second, [*group, "_b1", "_b2"]).withColumn(
+    opened = binned.join(small(second), [*group, "_b1", "_b2"])
+    opened = opened.groupBy(*group, "_b1", "_b2", "_total", "_base", "value").agg(F.sum("n").alias("n"))
+    placed = opened.withColumn(
         "_from", F.col("_base") + upto([*group, "_b1", "_b2"], "value") - F.col("n")
     )
 
@@ -150,7 +158,7 @@ def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles ``q25, q50, ...`` of several numeric columns, optionally per group."""
-    return histogram_quantiles(value_histogram(df, columns, by), probs, by)
+    return histogram_quantiles(value_rows(df, columns, by), probs, by)
 
 
 def approx_quantiles(

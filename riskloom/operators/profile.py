@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from riskloom.functions.numbers import round_half_even, safe_ratio
-from riskloom.operators.ordered import histogram_quantiles, quantiles, value_histogram
+from riskloom.operators.ordered import histogram_quantiles, quantiles, value_rows
 from riskloom.operators.prepare import value_counts
 from riskloom.schema import LABEL
 
@@ -185,7 +185,7 @@ def amount_by_class(df: DataFrame, label: str = LABEL, column: str = "amt", ddof
         F.min(column).alias("min"),
         F.max(column).alias("max"),
     )
-    marks = histogram_quantiles(value_histogram(known, [column], [label]), [0.25, 0.5, 0.75], [label])
+    marks = histogram_quantiles(value_rows(known, [column], [label]), [0.25, 0.5, 0.75], [label])
     # two rows, one per class
     both = spread.join(marks, label).withColumnRenamed("q50", "median")
     metrics = ("count", "mean", "median", "std", "min", "max", "q25", "q75")
@@ -210,7 +210,7 @@ def amount_class_difference(
 ) -> DataFrame:
     """Difference of class means and medians, their direction, and whether the means differ clearly."""
     known = df.filter(F.col(label).isin(0, 1) & F.col(column).isNotNull())
-    medians = histogram_quantiles(value_histogram(known, [column], [label]), [0.5], [label])
+    medians = histogram_quantiles(value_rows(known, [column], [label]), [0.5], [label])
     means = known.groupBy(label).agg(F.avg(column).alias("mean"))
 
     def gap(name: str) -> Column:

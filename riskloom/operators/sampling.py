@@ -17,12 +17,18 @@ from riskloom.sources.files import below_fraction
 
 
 def sample_plan(df: DataFrame, size: int, label: str = LABEL) -> DataFrame:
-    """One row: class totals, the target count per class and the sampling rates."""
+    """One row: class totals, the target count per class and the sampling rates.
+
+    Labels other than 0 and 1, null among them, belong to no class and are refused.
+    """
     counted = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col(label) == 1).alias("total_fraud"),
         F.count_if(F.col(label) == 0).alias("total_legit"),
     )
+    two_classes = F.col("total_fraud") + F.col("total_legit") == F.col("total_rows")
+    refused = F.raise_error(F.lit(f"{label} holds values other than 0 and 1"))
+    counted = counted.withColumn("total_rows", F.when(two_classes, F.col("total_rows")).otherwise(refused.cast("long")))
     ratio = safe_ratio(F.col("total_fraud"), F.col("total_rows"))
     return (
         counted.withColumn("fraud_ratio", ratio)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from riskloom.operators import correlate, distribution, prepare, profile, risk
+from pyspark.sql import functions as F
+
+from riskloom.functions.numbers import flag
+from riskloom.operators import correlate, distribution, evaluate, ordered, prepare, profile, risk
 from riskloom.plans.catalog.preparation import feature_rows, prepared_rows
 from riskloom.plans.catalog.registry import query
 from riskloom.plans.catalog.sqltext import oracle, r, r6, rate, ratio
@@ -558,3 +561,68 @@ def amount_boxplot(spark, sf):
 )
 def amount_cdf(spark, sf):
     return distribution.amount_cdf(transactions(spark, sf, ["amt", "is_fraud"]))
+
+
+# ---- the same over computed amounts, which fall on all sides of the powers of two
+
+_COMPUTED = "amt / CAST(3 AS DOUBLE) * CAST(0.7 AS DOUBLE)"
+
+
+def computed_amounts(spark, sf):
+    rows = transactions(spark, sf, ["amt", "is_fraud"])
+    return rows.select("is_fraud", (F.col("amt") / F.lit(3.0) * F.lit(0.7)).alias("x"))
+
+
+@query(
+    "quantiles_computed",
+    oracle(
+        f"""SELECT 'x' AS "column", {", ".join(f"{r6(f'quantile_cont({_COMPUTED}, {p})')} AS q{round(p * 100):02d}"
+                                             for p in (0.01, 0.25, 0.5, 0.75, 0.99))} FROM txn""",
+        "txn",
+    ),
+)
+def quantiles_computed(spark, sf):
+    return ordered.quantiles(computed_amounts(spark, sf), ["x"], [0.01, 0.25, 0.5, 0.75, 0.99])
+
+
+@query(
+    "cdf_computed",
+    oracle(
+        f"""SELECT CAST(is_fraud AS BIGINT) AS is_fraud, {r6('x')} AS x, count(*) AS n,
+              {r6('coalesce((min(i) - 1) / nullif(CAST(max(t) - 1 AS DOUBLE), 0), 0)')} AS cdf_first,
+              {r6('coalesce((max(i) - 1) / nullif(CAST(max(t) - 1 AS DOUBLE), 0), 0)')} AS cdf_last
+            FROM (SELECT is_fraud, x, row_number() OVER (PARTITION BY is_fraud ORDER BY x) AS i,
+                    count(*) OVER (PARTITION BY is_fraud) AS t
+                  FROM (SELECT is_fraud, {_COMPUTED} AS x FROM txn)) GROUP BY is_fraud, x""",
+        "txn",
+    ),
+)
+def cdf_computed(spark, sf):
+    return distribution.amount_cdf(computed_amounts(spark, sf), column="x")
+
+
+@query(
+    "roc_auc_computed",
+    oracle(
+        f"""SELECT {r6("(sum(rk) FILTER (WHERE is_fraud = 1) - n1 * (n1 + 1) / CAST(2 AS DOUBLE)) / (n1 * n0)")} AS roc_auc
+            FROM (SELECT is_fraud, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / CAST(2 AS DOUBLE) AS rk,
+                    CAST(sum(is_fraud) OVER () AS DOUBLE) AS n1, CAST(sum(1 - is_fraud) OVER () AS DOUBLE) AS n0
+                  FROM (SELECT is_fraud, {_COMPUTED} AS x FROM txn)) GROUP BY n1, n0""",
+        "txn",
+    ),
+)
+def roc_auc_computed(spark, sf):
+    return evaluate.roc_auc(computed_amounts(spark, sf), label="is_fraud", score="x")
+
+
+@query(
+    "approx_quantiles",
+    """SELECT 'amt' AS "column", 1 AS q25_close, 1 AS q50_close, 1 AS q75_close""",
+)
+def approx_quantiles(spark, sf):
+    """Sketched quartiles of the amount lie within 1 % of the exact ones."""
+    rows, probs = transactions(spark, sf, ["amt"]), (0.25, 0.5, 0.75)
+    exact = ordered.quantiles(rows, ["amt"], probs).select(F.struct("q25", "q50", "q75")).scalar()
+    found = ordered.approx_quantiles(rows, "amt", probs).withColumn("e", exact)
+    near = [flag(F.abs(F.col(q) / F.col(f"e.{q}") - 1) < 0.01).alias(f"{q}_close") for q in ("q25", "q50", "q75")]
+    return found.select("column", *near)

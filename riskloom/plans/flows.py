@@ -31,9 +31,14 @@ from riskloom.session import write_table
 
 
 def prepare(df: DataFrame, top_n: int = 50) -> DataFrame:
-    """Text cleanup, category reduction, calendar parts, coordinate check."""
+    """Text cleanup, category reduction, calendar parts, coordinate check.
+
+    The cleaned rows are written once; counting the values, finding copies and the rows themselves all read
+    that table.
+    """
     rows = clean_text_columns(df)
     if set(REDUCED) & set(rows.columns):
+        rows = write_table(rows, "cleaned")
         rows = reduce_categories(rows, fit_top_values(rows, top_n=top_n))
     return transform(rows)
 

@@ -17,19 +17,27 @@ def physical(df):
     return text[text.index("== Physical Plan ==") :]
 
 
-@pytest.mark.parametrize(
-    "name",
-    [
-        "amount_features", "corr_matrix", "stratified_split", "unseen_rows", "threshold_sweep", "roc_auc",
-        "outlier_impact", "risk_top_k", "label_encode", "amount_histogram", "peak_hours",
-    ],
-)
+# Model training, checked by its results, makes jobs of minutes.
+_TRAINED = ("train_", "tune_", "model_", "score_rows", "selected_model")
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(_TRAINED)])
 def test_no_cross_join_and_no_python(spark, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert word not in plan
 
 
+def test_quantiles_shuffle_bins_and_not_values(spark):
+    rows = spark.range(200_000).select(F.sin("id").alias("x"))
+    found = ordered.quantiles(rows, ["x"], [0.5])
+    found.collect()
+    moved = [int(n) for n in re.findall(r"rowCount=(\d+)", found._jdf.queryExecution().executedPlan().toString())]
+    assert all(n < 20_000 for n in moved)
+    exchanges = [x for x in physical(found).splitlines() if "hashpartitioning" in x and "value" in x]
+    assert all("_b2" in x for x in exchanges)
+
+
 def test_unneeded_joins_and_columns_are_pruned(spark):
     plan = physical(risk.fraud_by_hour(prepare.add_hour(transactions(spark, SF_DIR, ["trans_time", "is_fraud"]))))
     assert "customer.parquet" not in plan and "Join" not in plan
@@ -71,4 +79,4 @@ def test_windows_over_scores_run_inside_bins(spark):
 def test_quantiles_collapse_equal_values_before_the_shuffle(spark):
     rows = spark.range(1000).select((F.col("id") % 3).cast("double").alias("x"))
     plan = physical(ordered.value_histogram(rows, ["x"]))
-    assert "partial_count" in plan
+    assert "partial_sum" in plan
