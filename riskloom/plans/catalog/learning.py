@@ -7,10 +7,8 @@ read by all queries that need it. SQL checks what does not depend on the trees:
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from riskloom.functions.numbers import flag
@@ -22,7 +20,7 @@ from riskloom.plans.catalog.sqltext import (
     DATE_PARTS, HOUR, TIME_FEATURES, TOP_N, VALID_POINTS, hashed, oracle, r6, rate,
 )
 from riskloom.schema import LABEL, ROW_ID
-from riskloom.session import scratch_path
+from riskloom.session import artefact, scratch_path
 from riskloom.sources.transactions import derive, read_table, transactions
 from riskloom.streaming import jobs
 
@@ -32,19 +30,6 @@ TRIALS = 2
 GOOD_AUC = 0.95
 SELECTED = 30
 
-_MADE: dict[tuple[str, str, str], str] = {}
-
-
-def artefact(spark: SparkSession, sf: str, name: str, make: Callable[[str], None]) -> str:
-    """The path of a stored artefact, made when this session asks for it the first time."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _MADE:
-        path = scratch_path(spark, name, kept=True)
-        make(path)
-        _MADE[key] = path
-    return _MADE[key]
-
-
 def training_table(spark, sf) -> DataFrame:
     """Encoded feature rows with their train or test mark."""
     def make(path):

@@ -25,8 +25,8 @@ from riskloom.plans.catalog.sqltext import (
     r6,
     ratio,
 )
-from riskloom.schema import RAW_SCHEMA
-from riskloom.session import scratch_path, write_table
+from riskloom.schema import RAW_SCHEMA, ROW_INDEX
+from riskloom.session import artefact, scratch_path, write_table
 from riskloom.sources import files
 from riskloom.sources.transactions import read_table, transactions
 
@@ -235,7 +235,8 @@ _DROPPED_OUT = (
 
 @query("drop_columns", oracle(f"SELECT {_DROPPED_OUT} FROM txn", "txn"))
 def drop_columns(spark, sf):
-    return cleanse.drop_columns(transactions(spark, sf))
+    rows = transactions(spark, sf).withColumn(ROW_INDEX[0], F.col("trans_num"))
+    return cleanse.drop_columns(rows)
 
 
 _FENCES = """SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5::DOUBLE * (q3 - q1) AS lo,
@@ -387,10 +388,15 @@ def placed(spark, sf, columns=()):
 def feature_rows(spark, sf, columns=()):
     """Placed transactions with age and all engineered features.
 
-    The placed rows are written once; the median age and the amount statistics then read one column.
+    The placed rows, with the columns that are asked for, are an artefact: written once per session. The median age
+    and the amount statistics then read one column.
     """
-    rows = cleanse.add_age(placed(spark, sf, {"dob", "amt", "is_fraud", *columns}))
-    return flows.engineer(cleanse.impute_age(write_table(rows.drop("dob", "trans_date"), "placed")))
+    def make(path):
+        rows = cleanse.add_age(placed(spark, sf, {"dob", "amt", "is_fraud", *columns}))
+        rows.drop("dob", "trans_date").write.parquet(path)
+
+    path = artefact(spark, sf, "-".join(["placed", *sorted(columns)]), make)
+    return flows.engineer(cleanse.impute_age(spark.read.parquet(path)))
 
 
 @query("amount_features", oracle(f"SELECT {_AMOUNT_OUT} FROM feats", "feats"))

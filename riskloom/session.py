@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Paths of intermediate tables, in the order of their making.
 _MADE: list[str] = []
 
+# Paths of artefacts by application, source and name.
+_ARTEFACTS: dict[tuple[str, str, str], str] = {}
+
 # Fallback folders of local sessions, by application id.
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -64,6 +67,17 @@ def scratch_path(spark: SparkSession, name: str, kept: bool = False) -> str:
     return path
 
 
+def artefact(spark: SparkSession, source: str, name: str, make: Callable[[str], None]) -> str:
+    """The path of a stored table or model made from the folder ``source``, made when this session asks for it
+    the first time. Later steps read it instead of making it again."""
+    key = (spark.sparkContext.applicationId, source, name)
+    if key not in _ARTEFACTS:
+        path = scratch_path(spark, name, kept=True)
+        make(path)
+        _ARTEFACTS[key] = path
+    return _ARTEFACTS[key]
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Removes at its end the intermediate tables that were written within. Results must be used before."""
