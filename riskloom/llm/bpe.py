@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.llm.common import per_text
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 _BITS = 20
 #: In chunks between spaces: where white space meets white space, here or at the next space.
 _MEETS = re.compile(r"\A\Z|\A\s|\s\Z|\s\s|[\x1c-\x1f]")
@@ -210,6 +210,13 @@ class Coder:
         except _Meets:
             return self.chunk(text)
 
+    def forget(self) -> None:
+        """Frees what was remembered of texts."""
+        for known in (self.chunks, self.known):
+            known.clear()
+            known.old = {}
+        self.apart.clear()
+
     def named(self, ids: list[int]) -> str:
         return ",".join(map(self.names.__getitem__, ids))
 
@@ -236,7 +243,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         same = [tool.decode(x) == (t or "").encode() for t, x in zip(texts, ids, strict=True)]
         return {"doc_id": doc_ids, "n_tokens": [len(x) for x in ids], "ids": ids, "round_trip": same}
 
-    return per_text(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids array<int>, round_trip boolean", work)
+    return per_text(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids array<int>, round_trip boolean", work, lambda: coder(path, pattern).forget())
 
 
 def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -253,4 +260,4 @@ def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return per_text(docs, ["doc_id", "text"], schema, work)
+    return per_text(docs, ["doc_id", "text"], schema, work, lambda: coder(path, pattern).forget())

@@ -27,11 +27,13 @@ def per_text(
     columns: list[str],
     schema: str,
     work: Callable[..., dict[str, list]],
+    after: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Applies `work` to slices of the named columns, given as lists; it returns the output columns as lists.
 
     Only the named columns leave the JVM, so that other columns of any name do not disturb. A task holds one
-    Arrow batch and the results of one slice at a time.
+    Arrow batch and the results of one slice at a time. `after` runs at the end of each task, to free what `work`
+    remembers: worker processes live on.
     """
     out = pa.schema([])
     fields = [x.strip().split(" ", 1) for x in _top_level(schema)]
@@ -43,11 +45,15 @@ def per_text(
     out = pa.schema([(n, kinds[k.strip()]) for n, k in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                got = work(*(part.column(i).to_pylist() for i in range(len(columns))))
-                yield pa.record_batch([pa.array(got[f.name], f.type) for f in out], schema=out)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    got = work(*(part.column(i).to_pylist() for i in range(len(columns))))
+                    yield pa.record_batch([pa.array(got[f.name], f.type) for f in out], schema=out)
+        finally:
+            if after:
+                after()
 
     return rows.select(*columns).mapInArrow(run, schema)
 

@@ -164,7 +164,7 @@ class Field:
         """What a word adds to its own scores, to those of the word after it and of the word before it."""
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 200_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             own, seen = features(word)
             get = lambda f: self.weights.get(f, self.zero)

@@ -170,10 +170,14 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int =
     """The documents, all columns as they are, that have the smallest id of their class; the others go.
 
     Rows that repeat an id are one document, of which one row stays. Rows without an id cannot be told apart and
-    stay.
+    stay. The ids are as many as the documents, so they are never broadcast: rows and ids meet by one shuffle at
+    every size.
     """
     found = stored(classes(stored(fingerprints(docs, shingle_words)), radius))
     ids = found.filter("doc_id = component_id").groupBy("doc_id").count()
-    once = docs.join(ids.filter("count = 1"), "doc_id", "left_semi")
-    again = docs.join(ids.filter("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.union(again).union(docs.filter("doc_id is null")).select(docs.columns)
+    ids = stored(ids)
+    kept = docs.join(ids.filter("count = 1"), "doc_id", "left_semi").select(docs.columns)
+    again = ids.filter("count > 1")
+    if not again.isEmpty():
+        kept = kept.union(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    return kept.union(docs.filter("doc_id is null"))
