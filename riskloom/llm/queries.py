@@ -63,4 +63,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets)
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    # every vector against every other
+    "op5_vectors": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+              ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, p.y FROM r JOIN p ON p.x = r.y),
+        c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+        n AS (SELECT x, count(*) AS n_links FROM p GROUP BY x)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id""",
+    # every run of words of every document against every window
+    "op8_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+        b1 AS (SELECT item_id, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i FROM b),
+        windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM b1),
+        d1 AS (SELECT doc_id, w, n, unnest(range(1, CAST(greatest(len(w) - n + 2, 1) AS BIGINT))) AS i
+               FROM d, (SELECT DISTINCT n FROM windows)),
+        runs AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM d1),
+        hits AS (SELECT doc_id, i, n, item_id FROM runs JOIN windows USING (n, win)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+          sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
