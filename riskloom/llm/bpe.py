@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.llm.common import per_text
 
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 120_000
 _BITS = 20
 #: In chunks between spaces: where white space meets white space, here or at the next space.
 _MEETS = re.compile(r"\A\Z|\A\s|\s\Z|\s\s|[\x1c-\x1f]")

@@ -176,8 +176,8 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int =
     found = stored(classes(stored(fingerprints(docs, shingle_words)), radius))
     ids = found.filter("doc_id = component_id").groupBy("doc_id").count()
     ids = stored(ids)
-    kept = docs.join(ids.filter("count = 1"), "doc_id", "left_semi").select(docs.columns)
+    kept = docs.join(ids.filter("count = 1").hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
     again = ids.filter("count > 1")
     if not again.isEmpty():
-        kept = kept.union(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+        kept = kept.union(docs.join(again.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
     return kept.union(docs.filter("doc_id is null"))
