@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.llm.common import per_text
 
+#: Chunks, and pairs of tokens, that a worker remembers; some 300 bytes each, twice over.
 CACHE_CHUNKS = 120_000
 _BITS = 20
 #: In chunks between spaces: where white space meets white space, here or at the next space.
@@ -63,11 +64,11 @@ class _Meets(Exception):
 class _Known(dict):
     """Remembers answers. When it is full, the older half goes, but for what is asked for again."""
 
-    def __init__(self, find: Callable) -> None:
-        self.find, self.old = find, {}
+    def __init__(self, find: Callable, size: int) -> None:
+        self.find, self.size, self.old = find, size, {}
 
     def __missing__(self, key):  # noqa: ANN001, ANN204
-        if len(self) >= CACHE_CHUNKS:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         known = self.old.get(key)
@@ -78,8 +79,8 @@ class _Known(dict):
 class Coder:
     """Encodes and decodes by rank tables; `pattern` cuts a text into pieces that are encoded apart."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = CACHE_CHUNKS) -> None:
+        self.ranks, self.remember = ranks, remember
         self.pieces = regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.suffixes = ahocorasick.Automaton()
@@ -95,8 +96,8 @@ class Coder:
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.apart: dict[int, bool] = {}
-        self.chunks = _Known(self._after_space)
-        self.known = _Known(lambda x: self.piece(x.encode()))
+        self.chunks = _Known(self._after_space, remember)
+        self.known = _Known(lambda x: self.piece(x.encode()), remember)
         self.names = {i: str(i) for i in self.bytes_of}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
@@ -163,7 +164,7 @@ class Coder:
             add(single[x])
 
     def _learn(self, left: int, right: int) -> bool:
-        if len(self.apart) > CACHE_CHUNKS:
+        if len(self.apart) > self.remember:
             self.apart.clear()
         known = self.apart[left << _BITS | right] = self._pair(left, right)
         return known
@@ -225,9 +226,9 @@ class Coder:
 
 
 @lru_cache(maxsize=2)
-def coder(path: str, pattern: str) -> Coder:
+def coder(path: str, pattern: str, remember: int = CACHE_CHUNKS) -> Coder:
     """One coder per worker process and vocabulary file."""
-    return Coder(read_ranks(path), pattern)
+    return Coder(read_ranks(path), pattern, remember)
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -246,11 +247,14 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return per_text(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids array<int>, round_trip boolean", work, lambda: coder(path, pattern).forget())
 
 
-def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again and returns digests only."""
+def digest_texts(docs: DataFrame, path: str, pattern: str, remember: int = 400_000) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again and returns digests only.
+
+    As a job of its own it may remember more than a stage among others, and from one task to the next.
+    """
 
     def work(doc_ids: list, texts: list) -> dict:
-        tool = coder(path, pattern)
+        tool = coder(path, pattern, remember)
         out: dict[str, list] = {"doc_id": doc_ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for text in texts:
             ids = tool.encode(text or "")
@@ -260,4 +264,4 @@ def digest_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return per_text(docs, ["doc_id", "text"], schema, work, lambda: coder(path, pattern).forget())
+    return per_text(docs, ["doc_id", "text"], schema, work)
