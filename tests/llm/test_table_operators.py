@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from riskloom.llm import components, lm, secrets, simhash, vectors
+from riskloom.llm import components, jaccard, lm, secrets, simhash, vectors
 from riskloom.llm.common import hash_fold
 from riskloom.llm.queries import QUERIES
 
@@ -308,3 +308,37 @@ def test_stages_return_the_columns_of_documents(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    runs = [words[i : i + 5] for i in range(len(words) - 4)] if len(words) >= 5 else [words] if words else []
+    return {b" ".join(r) for r in runs}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_near_duplicate_stage_equals_all_pairs_by_five_word_jaccard(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    sets = {r.doc_id: plain_shingles(r.text) for r in docs.collect()}
+    ids = sorted(sets)
+    near = []
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            least, most = sorted((len(sets[a]), len(sets[b])))
+            if least >= 0.8 * most and (both := len(sets[a] & sets[b])) >= 0.8 * (least + most - both):
+                near.append((a, b))
+    want = {i for i, c in classes_of(ids, near).items() if i == c}
+    got = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert any(sets[a] != sets[b] for a, b in near)
+
+
+def test_near_duplicate_stage_of_chains_and_odd_rows(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    chain = [base[6 * i :] + [f"x{k}" for k in range(6 * i)] for i in range(8)]  # neighbours only are near
+    rows = [(10 + i, " ".join(w)) for i, w in enumerate(chain)]
+    rows += [(30, ""), (31, None), (32, "one two"), (33, "ONE  two"), (34, "two one"), (40, "a b c d e f"), (40, "a b c d e f")]
+    rows += [(None, "one two"), (None, None)]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 0, 10, 30, 32, 34, 40]
