@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one for each block element. Text that cannot be the article (menus, forms, adverts,
 scripts and the like, by element or by the words of its class, id or role; link lists by their share of link
-text) counts as length 0. The lengths are summed over sliding windows of lines; the sums surge where running text
-begins and dive where it ends. The stretches between that rise high enough are the text. Where a page marks its
-article, only lines within it have a length.
+text) counts as length 0. The lengths are summed over sliding windows of lines that have text or stand for something left
+out; the sums surge where running text begins and dive where it ends, or where a marked article does. The stretches
+between that rise high enough are the text, by the same thresholds within a marked article and outside. The more of a
+page's text its articles hold, the less a line outside of them weighs.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ MARKS = frozenset(
     "related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget "
     "complementary contentinfo alert".split()
 )
+#: Marks of a block in which an <article> is one of the comments.
+REPLIES = frozenset("comment comments disqus replies reply respond".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)"
     r"((?:[^>\"'<]*+(?:\"[^\"<]*+\"|'[^'<]*+')?+)*?[^>]*+)>",
@@ -49,13 +52,13 @@ _SPACES = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
 
 
-def marked(attributes: str) -> bool:
-    """Whether class, id or role name something other than the article; camelCase counts as words."""
+def marked(attributes: str, marks: frozenset[str] = MARKS, first: bool = False) -> bool:
+    """Whether class, id or role name something other than the article, or `first` name it; camelCase counts as words."""
     for groups in _ATTRIBUTE.findall(attributes):
         value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", "".join(groups))
         for one in value.lower().split():
             words = _WORDS.findall(one)
-            if words and words[0] not in ("has", "with", "no", "without") and not MARKS.isdisjoint(words):
+            if words and words[0] not in ("has", "with", "no", "without") and not marks.isdisjoint(words[:1] if first else words):
                 return True
     return False
 
@@ -66,7 +69,7 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
     text: list[str] = []
     links: list[str] = []
     article = link = 0
-    skip, depth, by_mark = "", 0, False  # the element that is being left out, its nesting, whether for its class
+    skip, depth, wrapper = "", 0, False  # the element that is being left out, its nesting, whether an article may be in it
     at = 0
 
     def flush() -> None:
@@ -94,7 +97,7 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
             take(" ")
             continue
         if skip:
-            if by_mark and not closing and name in ("article", "main"):
+            if wrapper and not closing and name in ("article", "main"):
                 skip = ""  # a wrapper, not a part
             elif name == skip:
                 depth += -1 if closing else 1
@@ -108,7 +111,9 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
             flush()
         elif name in VOID:
             take(" ")
-        if name in ("article", "main"):
+        if name == "article" and not closing and by_class and marked(token.group(3), first=True):
+            skip, depth, wrapper = name, 1, False
+        elif name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
         elif name == "a":
             link = max(0, link + (-1 if closing else 1))
@@ -117,7 +122,7 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
             if by_tag or (by_class and marked(token.group(3))):
                 if name in BLOCKS or text:
                     flush()
-                skip, depth, by_mark = name, 1, not by_tag
+                skip, depth, wrapper = name, 1, not by_tag and not marked(token.group(3), REPLIES)
     tail = html[at:]
     cut = tail.rfind("<")
     take(tail if cut < 0 or not re.match(r"<[/a-zA-Z!?]", tail[cut:]) else tail[:cut])  # a tag that the page's end cuts
@@ -132,19 +137,25 @@ def extract(html: str | None) -> str:
     lines = lines_of(html)
     if not any(n for _, n, _ in lines):  # a class that the whole page bears tells nothing
         lines = lines_of(html, by_class=False)
-    inside = any(n for _, n, within in lines if within)
-    size = [n if within or not inside else 0 for _, n, within in lines]
-    sums = [sum(size[i : i + WINDOW]) for i in range(len(size))]
-    stretches: list[list[int]] = []
-    for i, n in enumerate(sums):
-        if n and (not i or not sums[i - 1]):
+    within = sum(n for _, n, inside in lines if inside)
+    weight = 1 - within / max(1, sum(n for _, n, _ in lines))
+    size = [n if inside else n * weight for _, n, inside in lines]
+    stretches: list[list] = []
+    for i, n in enumerate(size):
+        if not n:
+            continue
+        if not stretches or i - stretches[-1][1] >= WINDOW or lines[i][2] != lines[stretches[-1][0]][2]:
             stretches.append([i, i, 0])  # surge
-        if n:
-            stretches[-1][1:] = i + WINDOW, max(stretches[-1][2], n)  # moves on to the dive
+        stretches[-1][1] = i  # moves on to the dive
+    for s in stretches:
+        s[2] = max(sum(size[i : min(i + WINDOW, s[1] + 1)]) for i in range(s[0], s[1] + 1))
     highest = max((s[2] for s in stretches), default=0)
-    enough = 1 if inside else min(ENOUGH, SHARE * highest)
+    kept = [s[2] >= min(ENOUGH, SHARE * highest) for s in stretches]
+    long = [k for k, ok in enumerate(kept) if ok]
+    for k in range(long[0], long[-1]) if long else ():  # short blocks of an article, between its long ones
+        kept[k] = kept[k] or lines[stretches[k][0]][2]
     return "\n".join(
-        lines[i][0] for first, last, peak in stretches if peak >= enough for i in range(first, min(last, len(lines))) if size[i]
+        lines[i][0] for (first, last, _), ok in zip(stretches, kept, strict=True) if ok for i in range(first, last + 1) if size[i]
     )
 
 

@@ -337,6 +337,22 @@ def test_html_finds_the_article_of_every_page(spark):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+LONG = ["A sentence of the article that is long enough to count as text. " * 2 + str(i) for i in range(4)]
+SHORT = "Note."
+
+
+def test_html_misleading_articles_and_marked_pages():
+    text = "".join(f"<p>{x}</p>" for x in LONG)
+    want = "\n".join(x.strip() for x in LONG)
+    comments = '<div id="comments"><p>Hm.</p><article class="comment-body"><p>' + "I have an opinion on this, too. " * 5 + "</p></article></div>"
+    assert html_extract.extract(PAGE % f'<div class="entry-content">{text}</div>{comments}') == want
+    alone = '<article class="comment-body"><p>' + "I have an opinion on this, too. " * 5 + "</p></article>"
+    assert html_extract.extract(PAGE % f"<div>{text}</div>{alone}") == want
+    assert html_extract.extract(PAGE % f"<div>{text}</div><article><p>{SHORT}</p></article>") == want
+    assert html_extract.extract(PAGE % f"<p>{SHORT}</p><article>{text}</article><p>{SHORT}</p>") == want
+    assert html_extract.extract(PAGE % f'<div class="login"><article>{text}</article></div>') == want
+
+
 @pytest.mark.parametrize("html", [None, "", "plain", "<", "<p", "<p>a<!-- b", "</p></p>", '<a "' * 5000, "<nav>x", "<script>x", "&#0;&#xFFFFFFF;"])
 def test_html_odd_pages(html):
     text = html_extract.extract(html)
