@@ -32,6 +32,8 @@ BLOCKS = frozenset(
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td "
     "tfoot th thead title tr ul".split()
 )
+#: Boilerplate elements that a page may be wrapped in as a whole.
+WRAPPERS = frozenset("nav header footer aside form menu dialog figure".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id or role that mark what is not the article.
 MARKS = frozenset(
@@ -63,8 +65,8 @@ def marked(attributes: str, marks: frozenset[str] = MARKS, first: bool = False)
     return False
 
 
-def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
-    """(text, length to count, within a marked article) of each block in page order; blocks without text too."""
+def lines_of(html: str, by_class: bool = True, left_out: frozenset[str] = BOILERPLATE) -> list[tuple[str, int, bool]]:
+    """(text, length to count, within a marked article) of each block with text in page order; no text: left out."""
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
     links: list[str] = []
@@ -75,7 +77,8 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
     def flush() -> None:
         line = _SPACES.sub(" ", unescape("".join(text))).strip()
         linked = len(_SPACES.sub(" ", unescape("".join(links))).strip())
-        out.append((line, 0 if linked > LINK_SHARE * len(line) else len(line), article > 0))
+        if line:
+            out.append((line, 0 if linked > LINK_SHARE * len(line) else len(line), article > 0))
         text.clear()
         links.clear()
 
@@ -118,7 +121,7 @@ def lines_of(html: str, by_class: bool = True) -> list[tuple[str, int, bool]]:
         elif name == "a":
             link = max(0, link + (-1 if closing else 1))
         if not closing and name not in VOID and name not in ("html", "body", "article", "main"):
-            by_tag = name in BOILERPLATE
+            by_tag = name in left_out
             if by_tag or (by_class and marked(token.group(3))):
                 if name in BLOCKS or text:
                     flush()
@@ -137,6 +140,8 @@ def extract(html: str | None) -> str:
     lines = lines_of(html)
     if not any(n for _, n, _ in lines):  # a class that the whole page bears tells nothing
         lines = lines_of(html, by_class=False)
+    if not any(n for _, n, _ in lines):  # nor does an element around it
+        lines = lines_of(html, by_class=False, left_out=BOILERPLATE - WRAPPERS)
     within = sum(n for _, n, inside in lines if inside)
     weight = 1 - within / max(1, sum(n for _, n, _ in lines))
     size = [n if inside else n * weight for _, n, inside in lines]

@@ -353,6 +353,16 @@ def test_html_misleading_articles_and_marked_pages():
     assert html_extract.extract(PAGE % f'<div class="login"><article>{text}</article></div>') == want
 
 
+def test_html_blocks_of_unmarked_pages():
+    head = "<div><div><h2>Head</h2></div></div>"
+    rows = "<table><tbody><tr><td>1990</td></tr><tr><td>1991</td></tr></tbody></table>"
+    page = f"<div><div><p>{LONG[0]}</p></div>{head}<div><div><p>{SHORT}</p></div></div>{rows}<div><p>{LONG[1]}</p></div></div>"
+    want = "\n".join([LONG[0], "Head", SHORT, "1990", "1991", LONG[1]])
+    assert html_extract.extract(PAGE % page) == want
+    assert html_extract.extract(f"<html><body><form>{page}</form></body></html>") == want
+    assert html_extract.extract(f"<body><form class='login'>{page}<svg>no</svg></form></body>") == want
+
+
 @pytest.mark.parametrize("html", [None, "", "plain", "<", "<p", "<p>a<!-- b", "</p></p>", '<a "' * 5000, "<nav>x", "<script>x", "&#0;&#xFFFFFFF;"])
 def test_html_odd_pages(html):
     text = html_extract.extract(html)
