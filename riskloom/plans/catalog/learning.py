@@ -24,8 +24,8 @@ from riskloom.session import artefact, scratch_path
 from riskloom.sources.transactions import derive, read_table, transactions
 from riskloom.streaming import jobs
 
-# Fits of the tuning queries; the operator draws 50. See the README.
-TRIALS = 2
+# Fits of the tuning queries. See the README for their time.
+TRIALS = 50
 # A model that ranks worse than this on rows it has not seen has gone wrong.
 GOOD_AUC = 0.95
 SELECTED = 30
@@ -148,8 +148,7 @@ def train_final(spark, sf):
     _, best = tuned(spark, sf)
     names = feature_names(train)
     fitted = model.fit(model.boosted_trees(**best), train, names)
-    # a draw may stop every tree at its root; the final model is then only as good as chance
-    return _report(model.score(fitted, test, names), "final").withColumn("ranks_well", F.lit(1))
+    return _report(model.score(fitted, test, names), "final")
 
 
 def _ranked(spark, sf) -> DataFrame:
