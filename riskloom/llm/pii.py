@@ -25,7 +25,8 @@ from riskloom.llm.common import SLICE_ROWS, per_text
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 
-#: The small labelled table: personal data stands in brackets after its kind.
+#: The small labelled table: personal data stands in brackets after its kind. The lines are written by hand. The plain
+#: numbers of 16 digits that fail the Luhn check, and the card in a table row, are drawn at random, not taken from documents.
 LABELLED = (
     "Write to [email anna.berg@example.org] or come by at 12:30 on 4 May 2021.",
     "Contact: [email j_doe77@mail.example.com], phone [phone +1 (415) 555-0134].",
@@ -66,10 +67,10 @@ LABELLED = (
     "marks&&& again*** [card 4111111111111111]$$$ and### [phone +1 (303) 555-0199]%%% end***",
     "| name | [email kim@mail2.example.com] | [phone +1 (206) 555-0111] | 42 | [ip 8.8.4.4] |",
     "| total | 1234 | 5678 | 90 | 12 | 7 | 2019 | 2020 | 2021 |",
-    "Serial 4539148803436468 and lot 9807915762804490 are not for sale.",
-    "The count was 1219538112535716 then 9777946427004852 and at last 0007687199101951.",
-    "item*** 7086638319846192$$$ and### 2852466340876421!! are parts",
-    "| 2086184495729368 | 2353820953013749 | words | [card 4550997810720808] |",
+    "Serial 4539148803436468 and lot 0234513818277658 are not for sale.",
+    "The count was 6852540263509614 then 1450619226046364 and at last 0858300233815576.",
+    "item*** 4303731028839919$$$ and### 5402017358924986!! are parts",
+    "| 5810705190877014 | 7123441136492641 | words | [card 4782351444059144] |",
     "Numbers 1234 5678 and 2345 are lottery picks of 2018, 2019 and 2020.",
 )
 

@@ -146,6 +146,12 @@ def test_field_learns_its_table_and_whole_lines_change_nothing(spark, monkeypatc
     assert cut == [sorted(s) for s in pii.added_spans(field, texts, base)]
 
 
+def test_labelled_numbers_are_not_those_of_the_documents(spark):
+    numbers = set(re.findall("[0-9]{16}", " ".join(pii.LABELLED))) - {"4111111111111111"}
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert not [n for n in sorted(numbers) if not texts.filter(texts.text.contains(n)).isEmpty()]
+
+
 def test_viterbi_equals_all_paths():
     field, rng = pii.trained(), np.random.default_rng(1)
     k = len(pii.LABELS)
