@@ -7,7 +7,8 @@ window fixes where the window would start (positional bound) and end (length bou
 compared.
 
 The benchmark is the query set: it is read in blocks of bounded size, which are small enough for every worker.
-Each block is one more narrow step over the documents. Nothing is shuffled but the word counts.
+Each block is one more narrow step over the documents, whose result is stored before the next. Nothing is shuffled but
+the word counts and the benchmark, whose repeated items are dropped first.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import SLICE_ROWS
+from riskloom.llm.common import SLICE_ROWS, stored
 
 WINDOW_WORDS = 10
 #: Bytes of benchmark text in one block; the index of a block takes some fifty times as much in a worker.
@@ -74,15 +75,26 @@ def merge(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """Items by block; each list is collected alone and holds about `block_bytes`."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple[str, bytes]], bool]]:
+    """Different items in blocks, and whether the block is the last one, which may be empty.
+
+    A block ends with the item that brings it to `block_bytes`. The driver holds two blocks and one partition of items.
+    """
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("binary").alias("text")
     ).filter("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, ceil(total / block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r.item_id, bytes(r.text)) for r in items.filter(block == i).collect()] for i in range(n)]
+    ready, block, held = None, [], 0
+    for r in stored(items.distinct()).toLocalIterator():
+        block.append((r.item_id, bytes(r.text)))
+        held += len(r.text)
+        if held >= block_bytes:
+            if ready is not None:
+                yield ready, False
+            ready, block, held = block, [], 0
+    if ready is not None and block:
+        yield ready, False
+        ready = None
+    yield block if ready is None else ready, True
 
 
 def word_counts(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, int]:
@@ -111,10 +123,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, block_
         "doc_id", F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<bigint>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"),
     )
-    blocks = _blocks(benchmark, block_bytes)
-    for k, items in enumerate(blocks):
+    for items, last in _blocks(benchmark, block_bytes):
         counts = word_counts(docs, frozenset(w for _, text in items for w in words_of(text)))
-        out = out.mapInArrow(_finder(items, counts, size, last=k == len(blocks) - 1), out.schema)
+        out = out.mapInArrow(_finder(items, counts, size, last), out.schema)
+        out = out if last else stored(out)  # so that the plan holds one block
     return out.drop("text")
 
 
@@ -157,7 +169,7 @@ def report(found: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, all their columns as they are, that hold no window of the benchmark."""
     place = docs.columns.index("text")
-    for items in _blocks(benchmark, block_bytes):
+    for items, last in _blocks(benchmark, block_bytes):
         counts = word_counts(docs, frozenset(w for _, text in items for w in words_of(text)))
 
         def run(batches: Iterator[pa.RecordBatch], items=items, counts=counts) -> Iterator[pa.RecordBatch]:
@@ -169,4 +181,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_
                     yield batch.filter(pa.array([not windows.find(words_of(t))[0] for t in texts], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = docs if last else stored(docs)
     return docs

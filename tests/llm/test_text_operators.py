@@ -221,6 +221,14 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
     assert kept.columns == docs.columns
 
 
+def test_benchmark_blocks_are_bounded_and_drop_repeats(spark):
+    items = [(1, "same words here")] * 50 + [(i, f"item number {i:03d} of many") for i in range(2, 42)]
+    blocks = list(decontaminate._blocks(spark.createDataFrame(items, "item_id long, text string"), 200))
+    assert sorted(x for b, _ in blocks for x in b) == sorted({(str(i), t.encode()) for i, t in items})
+    assert all(sum(len(t) for _, t in b) < 200 + 24 for b, _ in blocks)
+    assert [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True] and len(blocks) > 3
+
+
 def test_decontamination_query_and_empty_tables(spark, odd):
     docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     texts = [(r.doc_id, r.text) for r in docs.collect()]
