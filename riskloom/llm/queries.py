@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, decontaminate, html_extract, langid, lm, pii, quality, secrets, simhash, vectors
+from riskloom.llm import (
+    bpe, decontaminate, html_extract, langid, lm, pii, quality, secrets, simhash, vectors, warc,
+)
 from riskloom.llm.common import hash_fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -58,15 +60,27 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.labelled_findings(spark))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets)
+    for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets,
+              op12_warc)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    # digests over whole payloads; a window over equal ones
+    "op12_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+        h AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS head FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+          CASE WHEN n >= 1000 AND page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN n >= 1000 AND page_id < head THEN head END AS refers_to FROM h""",
     # every vector against every other
     "op5_vectors": """
         WITH RECURSIVE v AS (
