@@ -41,6 +41,7 @@ def per_text(
         "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
         "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
         "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()),
+        "array<binary>": pa.list_(pa.binary()),
     }
     out = pa.schema([(n, kinds[k.strip()]) for n, k in fields])
 

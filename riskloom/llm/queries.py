@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
-    bpe, decontaminate, html_extract, langid, lm, pii, quality, secrets, simhash, vectors, warc,
+    bpe, decontaminate, html_extract, langid, lm, pii, quality, ranked, secrets, simhash, vectors, warc,
 )
 from riskloom.llm.common import hash_fold, table
 
@@ -64,16 +64,36 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets,
-              op12_warc)
+              op12_warc, op13_search)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_TERMS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    # every document against every item, term by term
+    "op13_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents WHERE text IS NOT NULL),
+        tot AS (SELECT count(*) AS nd, CAST(sum(len(words)) AS BIGINT) AS l FROM d WHERE len(words) > 0),
+        tf AS (SELECT r, doc_id, n, t, count(*) AS tf
+               FROM (SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n, unnest(words) AS t FROM d) GROUP BY ALL),
+        df AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+               FROM tf, tot GROUP BY t, nd),
+        q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+        s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score
+              FROM q JOIN df USING (t) JOIN tf USING (t), tot GROUP BY item_id, r, doc_id),
+        k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank,
+              doc_id, score FROM s WHERE score > 0)
+        SELECT * FROM k WHERE rank <= 10""",
     # digests over whole payloads; a window over equal ones
     "op12_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
