@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
-    bpe, decontaminate, html_extract, langid, lm, pii, quality, ranked, secrets, simhash, vectors, warc,
+    align, bpe, decontaminate, html_extract, langid, lm, pii, quality, ranked, secrets, simhash, vectors, warc,
 )
 from riskloom.llm.common import hash_fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+ALIGN_FILES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.labelled_findings(spark))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align.alignment(docs, *map(public_tokenizers.path, ALIGN_FILES))[0]
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("url")
 
@@ -71,7 +77,7 @@ def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_html, op2_bpe, op3_langid, op4_lm, op5_vectors, op6_simhash, op7_quality, op8_decontaminate, op9_pii, op10_secrets,
-              op12_warc, op13_search)
+              op11_align, op12_warc, op13_search)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
