@@ -53,21 +53,27 @@ def plan_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     revisit it. Rows that share that largest id cannot be told apart and are all responses, and so are copies
     that have no page_id at all. Only the digests are grouped; the pages meet the payloads that occur more than once.
     """
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), _payload().alias("payload")
-    ).withColumn("digest", F.sha1("payload"))
+    rows = _rows(pages)
     payloads = stored(
         rows.groupBy("digest").agg(
             F.max("page_id").alias("head"), F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("payload")).alias("bytes")
         )
     )
-    heads = payloads.filter((F.col("copies") > 1) & (F.col("bytes") >= REVISIT_BYTES)).select("digest", "head")
+    # stored, so that its size is known: where it is small the payloads are not shuffled
+    heads = stored(payloads.filter((F.col("copies") > 1) & (F.col("bytes") >= REVISIT_BYTES)).select("digest", "head"))
     records = rows.join(heads, "digest", "left").withColumn(
         "refers_to", F.when((F.col("page_id") < F.col("head")) | F.col("page_id").isNull(), F.col("head"))
     )
     return records.select("page_id", "url", "payload", "digest", "refers_to"), payloads
 
 
+def _rows(pages: DataFrame) -> DataFrame:
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), _payload().alias("payload")
+    )
+    return rows.withColumn("digest", F.sha1("payload"))
+
+
 def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.UUID(hashlib.sha1(f'{page_id}:{digest}'.encode()).hexdigest()[:32])}>"
 
@@ -110,7 +116,7 @@ def info_bytes() -> bytes:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def build_dictionary(records: DataFrame, payloads: DataFrame) -> bytes | None:
+def build_dictionary(pages: DataFrame, payloads: DataFrame) -> bytes | None:
     """A Zstandard dictionary built in one task from a bounded sample of the records to archive.
 
     The sample takes different payloads in the order of a hash, until one of the bounds is reached. None where there are
@@ -127,7 +133,8 @@ def build_dictionary(records: DataFrame, payloads: DataFrame) -> bytes | None:
         .select("digest")
     )
     sample = (
-        records.join(F.broadcast(chosen), "digest")  # at most SAMPLE_RECORDS digests
+        _rows(pages)
+        .join(F.broadcast(chosen), "digest")  # at most SAMPLE_RECORDS digests
         .groupBy("digest")
         .agg(F.max(F.struct("page_id", "url", "payload")).alias("one"))
         .select("one.*", "digest")
@@ -175,7 +182,7 @@ def write_archive(pages: DataFrame, path: str) -> None:
     are not read.
     """
     records, payloads = plan_records(pages)
-    dictionary = build_dictionary(records, payloads)
+    dictionary = build_dictionary(pages, payloads)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = zstandard.ZstdCompressionDict(dictionary) if dictionary else None

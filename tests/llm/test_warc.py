@@ -78,7 +78,7 @@ def test_pages_come_back_and_any_reader_reads_the_files(spark, tmp_path):
 def test_dictionary_makes_the_archive_smaller(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     records, payloads = warc.plan_records(pages)
-    made = warc.build_dictionary(records, payloads)
+    made = warc.build_dictionary(pages, payloads)
     texts = [warc.record_bytes(r.page_id, r.url, bytes(r.payload), r.digest, None) for r in records.collect()]
     own = zstandard.ZstdCompressionDict(made)
     assert sum(len(warc.compress(t, own, {})) for t in texts) < 0.8 * sum(len(warc.compress(t, None, {})) for t in texts)
