@@ -142,14 +142,22 @@ def test_vector_links_against_all_pairs(spark, block_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
-def test_vector_recall_on_the_check_table(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
-    rows = df.orderBy("vec_id").collect()
-    x = np.array([r.embedding for r in rows], float)
+def test_vector_recall_just_above_the_threshold(spark):
+    """Planted partners at cosines of 0.90 to 0.93 among vectors without links."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(9000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    n = sum(int((x[at : at + 1000] @ x.T >= 0.9).sum()) for at in range(0, len(x), 1000)) - len(x)
-    assert 0.98 * n <= sum(got.values()) <= n
+    other = rng.normal(size=(3000, 64))
+    other -= (other * x[:3000]).sum(1)[:, None] * x[:3000]
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cosine = rng.uniform(0.9001, 0.93, 3000)[:, None]
+    x = np.concatenate((x, cosine * x[:3000] + np.sqrt(1 - cosine**2) * other)).astype(np.float32)
+    rows = [(i, [float(v) for v in e]) for i, e in enumerate(x)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    n = sum(int((unit[at : at + 1000] @ unit.T >= 0.9).sum()) for at in range(0, len(x), 1000)) - len(x)
+    assert n >= 6000
+    assert 0.98 * n <= sum(r.n_links for r in got) <= n
 
 
 def test_odd_vectors(spark):
@@ -282,10 +290,8 @@ def test_pipeline_equals_its_parts_by_brute_force(spark):
     docs = documents(spark)
     rows = {r.doc_id: r for r in docs.collect()}
     good = {r.doc_id for r in QUERIES["op7_quality"](spark, SF).collect() if r.predicted == 1}
-    fps = {i: plain_fingerprint(rows[i].text) for i in good}
     ids = sorted(good)
-    near = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (fps[a] ^ fps[b]).bit_count() <= 3]
-    first = [i for i, c in classes_of(ids, near).items() if i == c]
+    first = [i for i, c in classes_of(ids, plain_near({i: plain_shingles(rows[i].text) for i in ids})).items() if i == c]
     leaks = {r.doc_id for r in QUERIES["op8_decontaminate"](spark, SF).collect() if r.contaminated}
     own = bpe.coder(BPE_PATH, public_tokenizers.PATTERN)
     want = {}
@@ -316,18 +322,23 @@ def plain_shingles(text):
     return {b" ".join(r) for r in runs}
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-def test_near_duplicate_stage_equals_all_pairs_by_five_word_jaccard(spark, sf):
-    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
-    sets = {r.doc_id: plain_shingles(r.text) for r in docs.collect()}
-    ids = sorted(sets)
-    near = []
+def plain_near(sets):
+    """All pairs with a Jaccard similarity of 0.8 or more."""
+    near, ids = [], sorted(sets)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             least, most = sorted((len(sets[a]), len(sets[b])))
             if least >= 0.8 * most and (both := len(sets[a] & sets[b])) >= 0.8 * (least + most - both):
                 near.append((a, b))
-    want = {i for i, c in classes_of(ids, near).items() if i == c}
+    return near
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_near_duplicate_stage_equals_all_pairs_by_five_word_jaccard(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    sets = {r.doc_id: plain_shingles(r.text) for r in docs.collect()}
+    near = plain_near(sets)
+    want = {i for i, c in classes_of(sorted(sets), near).items() if i == c}
     got = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert any(sets[a] != sets[b] for a, b in near)
