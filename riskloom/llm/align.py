@@ -12,16 +12,23 @@ hand the scores of the pairs back to the documents.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, pairwise
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from riskloom.llm.common import stored
 
@@ -67,6 +74,7 @@ class Vocabulary:
         self.encode = encode
         self.entries = entries
         self.lengths = np.array([len(e) for e in entries], np.int64)
+        self.words = np.array(entries, dtype=object)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -83,28 +91,36 @@ def _byte_letters() -> dict[str, int]:
 
 @cache
 def byte_vocabulary(path: str) -> Vocabulary:
-    """A byte-level vocabulary of the tokenizers library; texts get a space in front, special strings are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    """A byte-level vocabulary of the tokenizers library; texts get a space in front, special strings are plain text.
 
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    Where the merges stand in the order of the ids they make, as in the public vocabularies, ranks say the same as merges, and
+    the faster library encodes by ranks. Otherwise the file's own library does.
+    """
+    file = json.loads(open(path, encoding="utf-8").read())
+    vocab, merges = file["model"]["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in file["model"]["merges"]]
     letters = _byte_letters()
-    entries = [b""] * own.get_vocab_size()
-    for entry, i in own.get_vocab().items():
-        entries[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in own.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return Vocabulary(encode, entries)
+    for token in file["added_tokens"]:
+        vocab.pop(token["content"], None)  # special strings are plain text here, so their ids never come
+    entries = [b""] * (max(vocab.values()) + 1)
+    for entry, i in vocab.items():
+        entries[i] = bytes(letters[c] for c in entry)
+    made = [vocab[x + y] for x, y in merges]
+    plain = file["pre_tokenizer"].get("type") == "ByteLevel" and not file["normalizer"] and file["model"].get("dropout") is None
+    if plain and all(x < y for x, y in pairwise(made)) and len(made) + 256 == len(vocab):
+        ranks = {entries[i]: i for i in vocab.values()}
+        own = tiktoken.Encoding("align", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return Vocabulary(lambda texts: [own.encode_ordinary(" " + t) for t in texts], entries)
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = True
+    return Vocabulary(
+        lambda texts: [e.ids for e in slow.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], entries
+    )
 
 
 @cache
 def piece_vocabulary(path: str) -> Vocabulary:
     """A vocabulary of sentencepiece, which puts the space in front itself; <0xHH> is a byte, U+2581 a space."""
-    import sentencepiece
-
     own = sentencepiece.SentencePieceProcessor(model_file=path)
     entries = []
     for i in range(own.get_piece_size()):
@@ -118,51 +134,136 @@ def _labels(size: int, mark: bytes) -> np.ndarray:
     return np.array([b"%d%s" % (i, mark) for i in range(size)], dtype=object)
 
 
-def align(texts: list[str | None], a: Vocabulary, b: Vocabulary) -> dict[str, list]:
-    """For each text its numbers of tokens, groups and links, the digest of its groups, and its linked pairs with the
-    times each is linked. A text that is null, empty or not given back byte by byte by both has none."""
+@dataclass
+class Aligned:
+    """Texts side by side: whether each is given back, its tokens of A and B, groups and links, its groups as text, and its linked
+    pairs, ``first`` to the next one's, with the times each is linked."""
+
+    good: np.ndarray
+    facts: np.ndarray
+    written: list[bytes]
+    first: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+
+def _given_back(texts: list[bytes], ids: np.ndarray, counts: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """Which texts the bytes of their tokens make up. All at once where all do."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    ends = np.r_[0, np.cumsum(v.lengths[ids])]
+    at = np.r_[0, np.cumsum(counts)]
+    same = np.diff(ends[at]) == lengths
+    joined = b"".join(v.words[ids].tolist())
+    if same.all() and joined == b"".join(texts):
+        return same
+    low, high = ends[at[:-1]].tolist(), ends[at[1:]].tolist()
+    return np.array([joined[x:y] == t for x, y, t in zip(low, high, texts)])
+
+
+def align(texts: list[str], a: Vocabulary, b: Vocabulary) -> Aligned:
+    """Each text on its own, with a space in front. One that a tokenizer does not give back byte by byte has no tokens."""
     size = len(texts)
-    out = {
-        "n_a": [0] * size, "n_b": [0] * size, "n_groups": [0] * size, "n_links": [0] * size,
-        "groups_sha256": [""] * size, "pairs": [[]] * size, "times": [[]] * size,
-    }
-    asked = [i for i, t in enumerate(texts) if t]
-    plain = [texts[i] for i in asked]
-    good, ids_a, ids_b = [], [], []
-    for i, text, x, y in zip(asked, plain, a.encode(plain), b.encode(plain)):
-        want = b" " + text.encode()
-        if b"".join([a.entries[k] for k in x]) == want and b"".join([b.entries[k] for k in y]) == want:
-            good.append(i)
-            ids_a.append(x)
-            ids_b.append(y)
-    if not good:
-        return out
-    n_a, n_b = [len(x) for x in ids_a], [len(y) for y in ids_b]
-    flat_a, flat_b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
+    raw = [b" " + t.encode() for t in texts]
+    flat, counts, good = [], [], np.ones(size, bool)
+    for v in (a, b):
+        lists = v.encode(texts)
+        counts.append(np.array([len(x) for x in lists], np.int64))
+        flat.append(np.fromiter(chain.from_iterable(lists), np.int64, counts[-1].sum()))
+        good &= _given_back(raw, flat[-1], counts[-1], v)
+    if not good.all():
+        for k in (0, 1):
+            flat[k] = flat[k][np.repeat(good, counts[k])]
+            counts[k] = np.where(good, counts[k], 0)
+    (flat_a, flat_b), (n_a, n_b) = flat, counts
     ends_a, ends_b = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b])
     cuts = np.union1d(ends_a, ends_b)
-    doc_ends = ends_a[np.cumsum(n_a) - 1]
-    token_a, token_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-    doc = np.searchsorted(doc_ends, cuts)
     shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    links = np.bincount(doc, minlength=len(good))
-    groups = np.bincount(np.searchsorted(doc_ends, shared), minlength=len(good))
-    pair = flat_a[token_a] << B_BITS | flat_b[token_b]
-    order = np.lexsort((pair, doc))
-    key_doc, key_pair = doc[order], pair[order]
-    first = np.flatnonzero(np.r_[True, (key_doc[1:] != key_doc[:-1]) | (key_pair[1:] != key_pair[:-1])])
-    times = np.diff(np.r_[first, len(order)])
-    bounds = np.searchsorted(key_doc[first], np.arange(len(good) + 1))
-    written = _write_groups(flat_a, ends_a, flat_b, ends_b, shared, len(a.entries), len(b.entries))
-    at_text = np.r_[0, np.cumsum(np.array(n_a) + np.array(n_b))]
-    pairs = key_pair[first]
-    for k, i in enumerate(good):
-        low, high = bounds[k], bounds[k + 1]
-        out["n_a"][i], out["n_b"][i] = n_a[k], n_b[k]
-        out["n_groups"][i], out["n_links"][i] = int(groups[k]), int(links[k])
-        out["groups_sha256"][i] = hashlib.sha256(b"".join(written[at_text[k] : at_text[k + 1]])[:-1]).hexdigest()
-        out["pairs"][i], out["times"][i] = pairs[low:high], times[low:high].astype(np.int32)
-    return out
+    token_a, token_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+    text_ends = np.r_[0, ends_a][np.cumsum(n_a)]  # those without tokens end where the one before does
+    owner = np.searchsorted(text_ends, cuts)
+    links = np.bincount(owner, minlength=size)
+    groups = np.bincount(np.searchsorted(text_ends, shared), minlength=size)
+    owner, pairs, times = _summed(owner, flat_a[token_a] << B_BITS | flat_b[token_b], np.ones(len(cuts), np.int64))
+    pieces = _write_groups(flat_a, ends_a, flat_b, ends_b, shared, len(a.entries), len(b.entries))
+    at = [0, *np.cumsum(n_a + n_b).tolist()]
+    written = [b"".join(pieces[x:y])[:-1] for x, y in pairwise(at)]
+    return Aligned(good, np.stack((n_a, n_b, groups, links), axis=1), written, np.searchsorted(owner, np.arange(size + 1)), pairs, times)
+
+
+def _summed(owner: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owners and pairs in order, each once, with the sum of their times."""
+    key = owner << 32 | pairs
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.r_[len(key) > 0, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+    total = np.add.reduceat(times[order], first) if len(first) else np.zeros(0, np.int64)
+    return key[first] >> 32, key[first] & 0xFFFFFFFF, total
+
+
+_TWO_BLANKS, _BETWEEN = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
+
+
+def words_of(text: str) -> list[str]:
+    """``text`` cut at single spaces between other characters. Both tokenizers start a token at each such space whatever
+    stands around it, so that a word aligns alike wherever it is found."""
+    if _TWO_BLANKS.search(text) or text[0].isspace() or text[-1].isspace():
+        return _BETWEEN.split(text)
+    return text.split(" ")
+
+
+class Aligner:
+    """Aligns whole texts by aligning each different word of a slice of texts once."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary):
+        self.a, self.b = a, b
+        # A is split before its merges; pieces of B must not reach over a word's end. Otherwise texts stay whole
+        self.cuts = not any(re.search(b"[^ ] ", e) for e in b.entries)
+
+    def documents(self, texts: list[str | None]) -> dict[str, list]:
+        """For each text its numbers of tokens, groups and links, the digest of its groups, and its linked pairs with the
+        times each is linked. A text that is null, empty or not given back byte by byte by both has none."""
+        size = len(texts)
+        out = {
+            "n_a": np.zeros(size, np.int64), "n_b": np.zeros(size, np.int64), "n_groups": np.zeros(size, np.int64),
+            "n_links": np.zeros(size, np.int64), "groups_sha256": [""] * size, "pairs": [[]] * size, "times": [[]] * size,
+        }
+        asked = [i for i, t in enumerate(texts) if t]
+        if not asked:
+            return out
+        number: dict[str, int] = {}
+        parts = [
+            np.array([number.setdefault(w, len(number)) for w in (words_of(texts[i]) if self.cuts else [texts[i]])]) for i in asked
+        ]
+        made = align(list(number), self.a, self.b)
+        failed = [k for k, own in enumerate(parts) if not made.good[own].all()]
+        if failed:  # what fails word by word is tried as a whole, apart from the others
+            if self.cuts:
+                whole = Aligner(self.a, self.b)
+                whole.cuts = False
+                for k in failed:
+                    for name, value in whole.documents([texts[asked[k]]]).items():
+                        out[name][asked[k]] = value[0]
+            failed = set(failed)
+            asked = [i for k, i in enumerate(asked) if k not in failed]
+            parts = [own for k, own in enumerate(parts) if k not in failed]
+            if not asked:
+                return out
+        lengths = np.array([len(own) for own in parts])
+        flat = np.concatenate(parts)
+        sums = np.add.reduceat(made.facts[flat], np.cumsum(lengths) - lengths, axis=0)
+        for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links")):
+            out[name][asked] = sums[:, k]
+        # each word of a text once, with its number there; then the pairs of the words
+        key, count = np.unique(np.repeat(np.arange(len(asked)), lengths) << 32 | flat, return_counts=True)
+        owner, word = key >> 32, key & 0xFFFFFFFF
+        per = np.diff(made.first)[word]
+        at = np.arange(per.sum()) + np.repeat(made.first[word] - (np.cumsum(per) - per), per)
+        owner, pairs, times = _summed(np.repeat(owner, per), made.pairs[at], made.times[at] * np.repeat(count, per))
+        bounds = np.searchsorted(owner, np.arange(len(asked) + 1))
+        for k, (i, own) in enumerate(zip(asked, parts)):
+            out["groups_sha256"][i] = hashlib.sha256(b";".join([made.written[w] for w in own.tolist()])).hexdigest()
+            out["pairs"][i], out["times"][i] = pairs[bounds[k] : bounds[k + 1]], times[bounds[k] : bounds[k + 1]].astype(np.int32)
+        return out
 
 
 def _write_groups(flat_a, ends_a, flat_b, ends_b, shared, size_a, size_b) -> list[bytes]:
@@ -183,7 +284,7 @@ def encode_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     kinds = {"groups_sha256": pa.string(), "pairs": pa.list_(pa.int64()), "times": pa.list_(pa.int32())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_vocabulary(a_path), piece_vocabulary(b_path)
+        own = Aligner(byte_vocabulary(a_path), piece_vocabulary(b_path))
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy()
             at = 0
@@ -192,7 +293,7 @@ def encode_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 fit = int(np.searchsorted(np.cumsum(sizes[at : at + STEP_DOCS]), STEP_BYTES, "right"))
                 part = batch.slice(at, max(1, fit))
                 at += part.num_rows
-                got = align(part.column(2).to_pylist(), a, b)
+                got = own.documents(part.column(2).to_pylist())
                 got |= {"ord": part.column(0), "doc_id": part.column(1)}
                 columns = [
                     got[n] if n in ("ord", "doc_id") else pa.array(got[n], kinds.get(n, pa.int64())) for n in names

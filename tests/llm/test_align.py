@@ -131,6 +131,37 @@ def test_odd_rows_in_any_partitions(spark, small):
     assert rows_of(got) == sorted([(1, 0, 0, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, 0, 0, "")], key=str)
 
 
+def test_words_align_as_in_their_text():
+    own = align.Aligner(align.byte_vocabulary(A_PATH), align.piece_vocabulary(B_PATH))
+    assert own.cuts
+    rng = random.Random(9)
+    parts = ["the", " ", "  ", "\n", "\t", "\u00a0", "don't", "x's", "42", "--", "日本", "\u0301e", "é", "\x1c", "\u2028", "<s>", "ab" * 30, "🙂", "1,000.5", "\r\n", "</s>", "'"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(3000)] + [" ".join(rng.choices(parts, k=9)) for _ in range(1500)]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        got = own.documents(some)
+        whole = align.align(some, own.a, own.b)
+        for i in range(len(some)):
+            if not whole.good[i]:
+                assert got["n_a"][i] == 0 and got["groups_sha256"][i] == ""
+                continue
+            assert tuple(got[n][i] for n in ("n_a", "n_b", "n_groups", "n_links")) == tuple(whole.facts[i])
+            assert got["groups_sha256"][i] == hashlib.sha256(whole.written[i]).hexdigest()
+            own_pairs = slice(whole.first[i], whole.first[i + 1])
+            assert list(got["pairs"][i]) == list(whole.pairs[own_pairs]) and list(got["times"][i]) == list(whole.times[own_pairs])
+
+
+def test_ranks_encode_as_the_file_does_for_every_character():
+    fast, slow = align.byte_vocabulary(A_PATH), Tokenizer.from_file(A_PATH)
+    slow.encode_special_tokens = True
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"{c}{c}a {c}1 b{c}" for c in every[at : at + 40]) for at in range(0, len(every), 40)]
+    texts += ["it's I'LL 'd 's  \n\n x<|endoftext|>y"]
+    for at in range(0, len(texts), 2000):
+        some = texts[at : at + 2000]
+        assert fast.encode(some) == [e.ids for e in slow.encode_batch([" " + t for t in some], add_special_tokens=False)]
+
+
 def test_bitmaps_give_back_what_they_hold():
     rng, layout = np.random.default_rng(1), align.Layout()
     for n in (0, 1, 50, 3000):
