@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from riskloom.operators.ordered import dense_codes
@@ -14,6 +14,9 @@ from riskloom.schema import LABEL_CODED, ONE_HOT
 from riskloom.session import write_table
 
 UNKNOWN = "unknown"
+#: Columns with more values than this are joined instead of looked up in maps, and the buckets that keep maps short: Spark
+#: searches a map from its start.
+MAP_LIMIT, MAP_BUCKETS = 20_000, 256
 
 
 def onehot_vocabulary(df: DataFrame, columns: Sequence[str] = ONE_HOT) -> DataFrame:
@@ -102,22 +105,40 @@ def label_mapping(vocabulary: DataFrame, sample: int = 10) -> DataFrame:
 
 
 def label_encode(
-    df: DataFrame, vocabulary: DataFrame, columns: Sequence[str] = LABEL_CODED
+    df: DataFrame, vocabulary: DataFrame, columns: Sequence[str] = LABEL_CODED, map_limit: int = MAP_LIMIT
 ) -> DataFrame:
     """Replace each column by ``<column>_encoded``; unseen values give -1.
 
-    Use a written vocabulary (``fit_labels``): its size on disk is known, so Spark broadcasts it below
-    the threshold and shuffles beyond it.
+    Use a written vocabulary (``fit_labels``): its size on disk is known. All columns with at most ``map_limit`` values are
+    looked up in one pass over the rows, in maps that reach them as scalar subqueries. The columns with more values are joined one
+    by one; Spark broadcasts their codes below the threshold and shuffles beyond it. Counting the values runs a job.
     """
-    for name in columns:
-        if name not in df.columns:
+    present = [c for c in columns if c in df.columns]
+    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()} if present else {}
+    mapped = [c for c in present if sizes.get(c, 0) <= map_limit]
+    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in present}
+
+    def bucket(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(MAP_BUCKETS)).cast("int")
+
+    def code(name: str) -> Column:
+        own = vocabulary.filter(F.col("column") == name)
+        short = own.groupBy(bucket(F.col("value")).alias("_bucket")).agg(
+            F.map_from_entries(F.collect_list(F.struct("value", F.col("code").cast("long")))).alias("_codes")
+        )
+        whole = short.agg(F.map_from_entries(F.collect_list(F.struct("_bucket", "_codes"))).alias("_maps")).scalar()
+        found = F.try_element_at(F.try_element_at(whole, bucket(filled[name])), filled[name])
+        return F.coalesce(found, F.lit(-1).cast("long"))
+
+    df = df.withColumns({f"{c}_encoded": code(c) for c in mapped}).drop(*mapped)
+    for name in present:
+        if name in mapped:
             continue
-        codes = vocabulary.filter(F.col("column") == name).select(
+        own = vocabulary.filter(F.col("column") == name).select(
             F.col("value").alias("_value"), F.col("code").alias("_code")
         )
-        filled = F.coalesce(F.col(name).cast("string"), F.lit(UNKNOWN))
         df = (
-            df.join(codes, filled == F.col("_value"), "left")
+            df.join(own, filled[name] == F.col("_value"), "left")
             .withColumn(f"{name}_encoded", F.coalesce("_code", F.lit(-1)).cast("long"))
             .drop("_value", "_code", name)
         )

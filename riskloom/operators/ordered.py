@@ -12,7 +12,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.numbers import sample_hash, value_bins
-from riskloom.schema import LABEL
 from riskloom.session import write_table
 
 # Hash buckets of the exact-n cut: 2^18 of 2^32 hash values.
@@ -97,11 +96,10 @@ def histogram_quantiles(
 
     The rows are counted per bin (``n`` may also be 1 on every row), and only the bins that hold a wanted
     position are opened, at most two per probability, group and level. Their values are counted last, so no
-    exchange carries a row per distinct value. The lists of opened bins are broadcast where their size has a
-    bound: without ``by``, or by the two-class label.
+    exchange carries a row per distinct value. Without ``by`` the lists of opened bins have a fixed bound and are broadcast.
     """
     group = [*by, "column"]
-    small = F.broadcast if set(by) <= {LABEL} else (lambda rows: rows)
+    small = (lambda rows: rows) if by else F.broadcast
     binned = histogram.withColumns(value_bins("value"))
     # quantile p stands at position (total - 1) * p, between its floor and its ceiling
     spots = {quantile_name(p): f"((_total - 1) * {float(p)}D)" for p in probs}
@@ -161,6 +159,44 @@ def quantiles(
     return histogram_quantiles(value_rows(df, columns, by), probs, by)
 
 
+def spaced_values(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """``(column, place, value)``: the values at positions ``floor(place * (rows - 1) / parts)`` of each sorted column, for
+    places from 0 to ``parts``. Exact, like ``quantiles``, with one condition however many places are asked for."""
+    binned = value_rows(df, columns).withColumns(value_bins("value"))
+    group = ["column"]
+
+    def upto(part: Sequence[str], order: str) -> Column:
+        return F.sum("n").over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+    # the first place at or behind position _from, and whether its position is before the end of the bin
+    step = "greatest(_total - 1, 1)"
+    first_place = f"((_from * {parts} + {step} - 1) div {step})"
+    hit = f"{first_place} <= {parts} AND ({first_place} * (_total - 1)) div {parts} < _from + n"
+    first = (
+        binned.groupBy(*group, "_b1")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("_total", F.sum("n").over(Window.partitionBy(*group)))
+        .withColumn("_from", upto(group, "_b1") - F.col("n"))
+        .filter(hit)
+        .select(*group, "_b1", "_total", F.col("_from").alias("_base"))
+    )
+    # at most a row per place and column on each of the two sides
+    second = (
+        binned.join(F.broadcast(first), [*group, "_b1"])
+        .groupBy(*group, "_b1", "_b2", "_total", "_base")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("_from", F.col("_base") + upto([*group, "_b1"], "_b2") - F.col("n"))
+        .filter(hit)
+        .select(*group, "_b1", "_b2", "_total", F.col("_from").alias("_base"))
+    )
+    opened = binned.join(F.broadcast(second), [*group, "_b1", "_b2"])
+    opened = opened.groupBy(*group, "_b1", "_b2", "_total", "_base", "value").agg(F.sum("n").alias("n"))
+    placed = opened.withColumn("_from", F.col("_base") + upto([*group, "_b1", "_b2"], "value") - F.col("n")).filter(hit)
+    # all places whose position falls on the value; a single row is at every place
+    last_place = f"least({parts}, if(_total = 1, {parts}, ((_from + n) * {parts} - 1) div {step}))"
+    return placed.selectExpr("column", f"explode(sequence({first_place}, {last_place})) AS place", "value")
+
+
 def approx_quantiles(
     df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10000
 ) -> DataFrame:

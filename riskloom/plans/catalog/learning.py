@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from riskloom.functions.numbers import flag
-from riskloom.operators import evaluate, importance, model, sampling, validate
+from riskloom.operators import boosting, evaluate, importance, model, sampling, search, validate
 from riskloom.plans import flows
 from riskloom.plans.catalog import preparation  # noqa: F401  the feature table's SQL
 from riskloom.plans.catalog.registry import ORACLES, query
@@ -24,8 +24,10 @@ from riskloom.session import artefact, scratch_path
 from riskloom.sources.transactions import derive, read_table, transactions
 from riskloom.streaming import jobs
 
-# Fits of the tuning queries. See the README for their time.
-TRIALS = 50
+# Draws of the search, the rounds after which the weaker half of a group is dropped, and the rounds without a better
+# validation AUC and at most of the final fit. See the README for their time.
+TRIALS, RUNGS = 50, (3, 6, 12)
+PATIENCE, FINAL_ROUNDS = 10, 60
 # A model that ranks worse than this on rows it has not seen has gone wrong.
 GOOD_AUC = 0.95
 SELECTED = 30
@@ -115,40 +117,50 @@ def train_gbt_shallow(spark, sf):
     return _test_report(spark, sf, "gbt_shallow")
 
 
-def tuned(spark, sf) -> tuple[DataFrame, dict]:
-    """The stored trial table and the best draw, over the full search ranges."""
+def study_path(spark, sf) -> str:
+    """The stored search over the full ranges and the model fitted with its best draw: ``trials`` and ``final``."""
     def make(path):
         train, _ = training_parts(spark, sf)
         inner = sampling.stratified_split(train.drop("split"), seed=43, names=("train", "validation"))
         parts = [inner.filter(F.col("split") == p) for p in ("train", "validation")]
-        table, _ = model.tune(*parts, feature_names(train), model.draw_params(TRIALS))
-        table.write.parquet(path)
+        study = search.tune(*parts, feature_names(train), ROW_ID, trials=TRIALS, rungs=RUNGS)
+        study.table(spark).write.parquet(f"{path}/trials")
+        boosting.save(search.fit_best(study, PATIENCE, FINAL_ROUNDS), spark, f"{path}/final")
 
-    table = spark.read.parquet(artefact(spark, sf, "trials", make))
-    best = importance.best_trial(table).first()["number"]
-    return table, model.draw_params(TRIALS)[best]
+    return artefact(spark, sf, "study", make)
+
+
+def trial_table(spark, sf) -> DataFrame:
+    return spark.read.parquet(f"{study_path(spark, sf)}/trials")
+
+
+def final_model(spark, sf) -> boosting.Booster:
+    return boosting.load(spark, f"{study_path(spark, sf)}/final")
 
 
 @query(
     "tune_trials",
-    f"SELECT CAST(i AS BIGINT) AS number, 1 AS scored, 1 AS in_range FROM (SELECT unnest(range({TRIALS})) AS i)",
+    f"""SELECT CAST(i AS BIGINT) AS number, 1 AS scored, 1 AS in_range, 1 AS within_rung, CAST(i >= 20 AS INT) AS guided
+        FROM (SELECT unnest(range({TRIALS})) AS i)""",
 )
 def tune_trials(spark, sf):
-    table, _ = tuned(spark, sf)
-    ranges = {k: v for k, v in model.SEARCH_SPACE.items()}
-    inside = " AND ".join(f"params_{k} BETWEEN {v[1]} - 1e-4 AND {v[2]} + 1e-4" for k, v in ranges.items())
-    steps = importance.running_best(table).join(table.drop("value"), "number")
-    return steps.select("number", flag(F.col("best_so_far") >= F.col("value")).alias("scored"), flag(F.expr(inside)).alias("in_range"))
+    """Each draw: whether it has a value, its parameters are in range, and it ended where its rung or its own rounds allow."""
+    table = trial_table(spark, sf)
+    inside = " AND ".join(f"params_{k} BETWEEN {r.low} AND {r.high}" for k, r in search.SPACE.items())
+    ends = f"""ended IN ('early', 'root') AND rounds_used BETWEEN 1 AND {RUNGS[-1]}
+        OR ended = 'pruned' AND rounds_used IN ({", ".join(map(str, RUNGS[:-1]))}) OR ended = 'budget' AND rounds_used = {RUNGS[-1]}"""
+    steps = importance.running_best(table.select("number", "value")).join(table.drop("value"), "number")
+    return steps.select(
+        "number", flag(F.col("best_so_far") >= F.col("value")).alias("scored"), flag(F.expr(inside)).alias("in_range"),
+        flag(F.expr(ends)).alias("within_rung"), F.col("guided").cast("int").alias("guided"),
+    )
 
 
 @query("train_final", _report_sql("final"))
 def train_final(spark, sf):
-    """The best draw, fitted on all training rows."""
-    train, test = training_parts(spark, sf)
-    _, best = tuned(spark, sf)
-    names = feature_names(train)
-    fitted = model.fit(model.boosted_trees(**best), train, names)
-    return _report(model.score(fitted, test, names), "final")
+    """The best draw of the search, fitted until its validation AUC stands still."""
+    _, test = training_parts(spark, sf)
+    return _report(boosting.score(final_model(spark, sf), test), "final")
 
 
 def _ranked(spark, sf) -> DataFrame:
@@ -181,27 +193,33 @@ def score_rows(spark, sf):
 @query(
     "model_roundtrip",
     _with_features(
-        f"""SELECT count(*) AS "rows", 0::BIGINT AS changed, {TRIALS}::BIGINT AS trials, 1 AS best_kept
+        f"""SELECT count(*) AS "rows", 0::BIGINT AS changed, 0::BIGINT AS final_changed, {TRIALS}::BIGINT AS trials, 1 AS best_kept
             FROM f WHERE place <= k"""
     ),
 )
 def model_roundtrip(spark, sf):
-    """Model, best parameters, results and trials, stored and read again: scores that changed, and what came back."""
+    """Models, best parameters, results and trials, stored and read again: scores that changed, and what came back."""
     _, test = training_parts(spark, sf)
     names, keep = feature_names(test), (ROW_ID,)
-    table, best = tuned(spark, sf)
+    table, last = trial_table(spark, sf), final_model(spark, sf)
     fitted = fitted_model(spark, sf, "random_forest")
     path = scratch_path(spark, "study")
     model.save_model(fitted, f"{path}/model")
+    boosting.save(last, spark, f"{path}/final")
     table.write.parquet(f"{path}/trials")
-    spark.createDataFrame([(k, str(v)) for k, v in best.items()], "name string, value string").write.json(f"{path}/best")
     model.score(fitted, test, names, keep).write.parquet(f"{path}/results")
-    after = model.score(model.load_model(f"{path}/model"), test, names, keep)
-    both = spark.read.parquet(f"{path}/results").join(after.select(ROW_ID, F.col("score").alias("_again")), ROW_ID)
-    again = {r["name"]: r["value"] for r in spark.read.json(f"{path}/best").collect()}
+    boosting.score(last, test, keep).write.parquet(f"{path}/final-results")
+    again = boosting.load(spark, f"{path}/final")
+
+    def changed(results: str, after: DataFrame) -> DataFrame:
+        both = spark.read.parquet(f"{path}/{results}").join(after.select(ROW_ID, F.col("score").alias("_again")), ROW_ID)
+        return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") != F.col("_again")).alias("changed"))
+
+    forest = changed("results", model.score(model.load_model(f"{path}/model"), test, names, keep))
+    boosted = changed("final-results", boosting.score(again, test, keep))
     trials = spark.read.parquet(f"{path}/trials").agg(F.count(F.lit(1))).scalar()
-    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") != F.col("_again")).alias("changed")).select(
-        "*", trials.alias("trials"), F.lit(int(again == {k: str(v) for k, v in best.items()})).alias("best_kept")
+    return forest.select(
+        "*", boosted.select("changed").scalar().alias("final_changed"), trials.alias("trials"), F.lit(int(again == last)).alias("best_kept")
     )
 
 

@@ -17,6 +17,7 @@ from riskloom.operators.encode import (
     fit_labels,
     label_encode,
     onehot_encode,
+    onehot_vectors,
     onehot_vocabulary,
 )
 from riskloom.operators.features import add_amount_features, add_interactions, add_time_features
@@ -26,7 +27,7 @@ from riskloom.operators.prepare import (
     reduce_categories,
     transform,
 )
-from riskloom.schema import DROPPED, REDUCED
+from riskloom.schema import DROPPED, ONE_HOT, REDUCED
 from riskloom.session import write_table
 
 
@@ -55,10 +56,16 @@ def cleanse(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return impute_age(write_table(kept, "cleansed"))
 
 
-def encode(df: DataFrame) -> DataFrame:
-    """One-hot and label encoding with vocabularies learned from ``df``."""
+def encode(df: DataFrame, vectors: bool = False) -> DataFrame:
+    """One-hot and label encoding with vocabularies learned from ``df``.
+
+    ``vectors`` gives a sparse vector per column instead of a column per value, and no vocabulary reaches the driver.
+    """
     labels = fit_labels(df)
-    wide = onehot_encode(df, collect_vocabulary(onehot_vocabulary(df)))
+    if vectors:
+        wide = onehot_vectors(df, fit_labels(df, ONE_HOT))
+    else:
+        wide = onehot_encode(df, collect_vocabulary(onehot_vocabulary(df)))
     return label_encode(wide, labels)
 
 

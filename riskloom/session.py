@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,8 +15,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Paths of intermediate tables, in the order of their making.
 _MADE: list[str] = []
 
-# Paths of artefacts by application, source and name.
-_ARTEFACTS: dict[tuple[str, str, str], str] = {}
+# Paths of artefacts by application, source, state of the source's files, and name.
+_ARTEFACTS: dict[tuple[str, str, str, str], str] = {}
 
 # Fallback folders of local sessions, by application id.
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -67,10 +68,22 @@ def scratch_path(spark: SparkSession, name: str, kept: bool = False) -> str:
     return path
 
 
+def _files_state(spark: SparkSession, folder: str) -> str:
+    """A digest of names, sizes and times of all files below ``folder``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    facts = []
+    while listed.hasNext():
+        file = listed.next()
+        facts.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(facts)).encode()).hexdigest()
+
+
 def artefact(spark: SparkSession, source: str, name: str, make: Callable[[str], None]) -> str:
     """The path of a stored table or model made from the folder ``source``, made when this session asks for it
-    the first time. Later steps read it instead of making it again."""
-    key = (spark.sparkContext.applicationId, source, name)
+    the first time, and again when files were added to the folder, removed or changed. Later steps read it instead of
+    making it again; ``drop_artefact`` forgets it."""
+    key = (spark.sparkContext.applicationId, source, _files_state(spark, source), name)
     if key not in _ARTEFACTS:
         path = scratch_path(spark, name, kept=True)
         make(path)
@@ -78,6 +91,14 @@ def artefact(spark: SparkSession, source: str, name: str, make: Callable[[str],
     return _ARTEFACTS[key]
 
 
+def drop_artefact(source: str, name: str | None = None) -> int:
+    """Forgets the artefacts of a folder, all or those of one name; returns how many. Their tables stay."""
+    gone = [k for k in _ARTEFACTS if k[1] == source and name in (None, k[3])]
+    for key in gone:
+        del _ARTEFACTS[key]
+    return len(gone)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Removes at its end the intermediate tables that were written within. Results must be used before."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -67,3 +69,17 @@ def below_fraction(df: DataFrame, row_id: str, fraction: float, seed: int = 42)
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows as a one-row table; over Parquet it reads no column."""
     return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
+def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """``rows`` and, of number and date columns, ``min_<column>`` and ``max_<column>``, from Parquet footers alone.
+
+    No data page is read. The session's own settings stay as they are: the scan belongs to a session of the same
+    application in which Parquet is a source with aggregate pushdown.
+    """
+    own = spark.newSession()
+    kinds = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(k for k in kinds if k != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    bounds = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), *bounds)

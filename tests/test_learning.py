@@ -1,3 +1,5 @@
+import pytest
+from riskloom.operators import boosting, search
 from riskloom.plans.catalog import learning
 
 SF = "/root/testdata/sf0.001"
@@ -8,7 +10,17 @@ def test_search_draws_as_many_as_stated():
 
 
 def test_final_model_no_better_than_chance_is_reported(spark, monkeypatch):
-    draw = {"maxIter": 1, "maxDepth": 1, "minInfoGain": 1e6}  # every tree stops at its root
-    monkeypatch.setattr(learning, "tuned", lambda spark, sf: (None, draw))
+    train, _ = learning.training_parts(spark, SF)
+    names = tuple(learning.feature_names(train))
+    flat = boosting.Booster(boosting.Bins(names, ((),) * len(names)), [], boosting.Params())
+    monkeypatch.setattr(learning, "final_model", lambda spark, sf: flat)
     row = learning.train_final(spark, SF).first()
     assert row.ranks_well == 0 and row.test_rows > 0
+
+
+def test_ranges_are_those_of_the_search():
+    assert set(search.SPACE) == {
+        "learning_rate", "max_depth", "rounds", "min_child_weight", "subsample", "colsample", "gamma", "reg_alpha", "reg_lambda",
+    }
+    assert search.SPACE["rounds"].from_unit(0.999) == 500 and search.SPACE["max_depth"].from_unit(0.0) == 3
+    assert search.SPACE["learning_rate"].from_unit(0.5) == pytest.approx((0.01 * 0.3) ** 0.5)
