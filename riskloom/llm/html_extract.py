@@ -25,7 +25,7 @@ LINK_SHARE = 0.6
 #: Fixed element lists.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BOILERPLATE = frozenset(
-    "nav header footer aside form button select option menu dialog noscript template svg canvas object audio video figure".split()
+    "nav header footer aside form button select option menu dialog noscript template svg canvas object audio video figcaption".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -33,7 +33,7 @@ BLOCKS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 #: Boilerplate elements that a page may be wrapped in as a whole.
-WRAPPERS = frozenset("nav header footer aside form menu dialog figure".split())
+WRAPPERS = frozenset("nav header footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id or role that mark what is not the article.
 MARKS = frozenset(
@@ -44,20 +44,72 @@ MARKS = frozenset(
 )
 #: Marks of a block in which an <article> is one of the comments.
 REPLIES = frozenset("comment comments disqus replies reply respond".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)"
-    r"((?:[^>\"'<]*+(?:\"[^\"<]*+\"|'[^'<]*+')?+)*?[^>]*+)>",
-    re.S,
-)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_BOUND = re.compile(r"[>\"']")
+_HEADING = re.compile(r"<h1[\s>]|</header", re.I)
 _SPACES = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
 
 
-def marked(attributes: str, marks: frozenset[str] = MARKS, first: bool = False) -> bool:
-    """Whether class, id or role name something other than the article, or `first` name it; camelCase counts as words."""
+class Tags:
+    """The tags and comments of a page from left to right, in time in proportion to its length.
+
+    A ``>`` within a quoted value does not end a tag. From a tag on whose quotes reach the end of the page, quotes are plain.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.quotes = html, True
+
+    def after(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name ('' for comments and the like), whether it closes, and attributes of the next one."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            follows = html[start + 1 : start + 2]
+            if follows and follows in "!?":
+                mark = "-->" if html.startswith("<!--", start) else ">"
+                end = html.find(mark, start + 2)
+                return start, end + len(mark) if end >= 0 else len(html), "", False, ""
+            name = _NAME.match(html, start + 1)
+            if name:
+                end = self._end(name.end())
+                if end < 0:
+                    return None  # no tag ends any more
+                return start, end, name[2].lower(), bool(name[1]), html[name.end() : end - 1]
+            at = start + 1
+        return None
+
+    def _end(self, begin: int) -> int:
+        html, at = self.html, begin
+        while self.quotes:
+            bound = _BOUND.search(html, at)
+            if bound and bound[0] == ">":
+                return bound.end()
+            if not bound:
+                self.quotes = False
+                break
+            before = bound.start() - 1
+            while before >= begin and html[before].isspace():
+                before -= 1
+            at = bound.end()
+            if before >= begin and html[before] == "=":
+                closing = html.find(bound[0], at)
+                if closing < 0:
+                    self.quotes = False
+                at = closing + 1
+        return html.find(">", begin) + 1 or -1
+
+
+def marked(attributes: str, marks: frozenset[str] = MARKS, first: bool = False, whole: bool = False) -> bool:
+    """Whether class, id or role name something other than the article; camelCase counts as words. With `first` only the
+    first word of a name counts, with `whole` only names that are such a word."""
     for groups in _ATTRIBUTE.findall(attributes):
-        value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", "".join(groups))
+        value = "".join(groups)
+        if whole:
+            if not marks.isdisjoint(value.lower().split()):
+                return True
+            continue
+        value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)
         for one in value.lower().split():
             words = _WORDS.findall(one)
             if words and words[0] not in ("has", "with", "no", "without") and not marks.isdisjoint(words[:1] if first else words):
@@ -70,17 +122,23 @@ def lines_of(html: str, by_class: bool = True, left_out: frozenset[str] = BOILER
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
     links: list[str] = []
-    article = link = 0
+    article = link = listed = n_links = 0
+    headings = True  # whether an <h1> or the end of a header may still come
+    tags = Tags(html)
     skip, depth, wrapper = "", 0, False  # the element that is being left out, its nesting, whether an article may be in it
     at = 0
 
     def flush() -> None:
+        nonlocal n_links
         line = _SPACES.sub(" ", unescape("".join(text))).strip()
         linked = len(_SPACES.sub(" ", unescape("".join(links))).strip())
         if line:
-            out.append((line, 0 if linked > LINK_SHARE * len(line) else len(line), article > 0))
+            # within an article one link may be a paragraph; a list of links is a menu there, too
+            menu = linked > LINK_SHARE * len(line) and (not article or listed > 0 or n_links > 1)
+            out.append((line, 0 if menu else len(line), article > 0))
         text.clear()
         links.clear()
+        n_links = link
 
     def take(piece: str) -> None:
         if piece and not skip:
@@ -88,15 +146,15 @@ def lines_of(html: str, by_class: bool = True, left_out: frozenset[str] = BOILER
             if link:
                 links.append(piece)
 
-    while token := _TOKEN.search(html, at):
-        take(html[at : token.start()])
-        at = token.end()
-        if token.group(2) is None:
+    while token := tags.after(at):
+        start, end, name, closing, attributes = token
+        take(html[at:start])
+        at = end
+        if not name:
             continue
-        name, closing = token.group(2).lower(), bool(token.group(1))
         if not closing and name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            closed = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
+            at = closed.end() if closed else len(html)
             take(" ")
             continue
         if skip:
@@ -114,18 +172,25 @@ def lines_of(html: str, by_class: bool = True, left_out: frozenset[str] = BOILER
             flush()
         elif name in VOID:
             take(" ")
-        if name == "article" and not closing and by_class and marked(token.group(3), first=True):
+        if name in ("ul", "ol", "dl"):
+            listed = max(0, listed + (-1 if closing else 1))
+        if name == "article" and not closing and by_class and marked(attributes, first=True):
             skip, depth, wrapper = name, 1, False
         elif name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
         elif name == "a":
             link = max(0, link + (-1 if closing else 1))
+            n_links += not closing
         if not closing and name not in VOID and name not in ("html", "body", "article", "main"):
             by_tag = name in left_out
-            if by_tag or (by_class and marked(token.group(3))):
+            if by_tag and name == "header" and article and headings:
+                heading = _HEADING.search(html, at)
+                headings = heading is not None
+                by_tag = not heading or heading[0].startswith("</")  # the article's own title stays
+            if by_tag or (by_class and marked(attributes, whole=article > 0)):
                 if name in BLOCKS or text:
                     flush()
-                skip, depth, wrapper = name, 1, not by_tag and not marked(token.group(3), REPLIES)
+                skip, depth, wrapper = name, 1, not by_tag and not marked(attributes, REPLIES)
     tail = html[at:]
     cut = tail.rfind("<")
     take(tail if cut < 0 or not re.match(r"<[/a-zA-Z!?]", tail[cut:]) else tail[:cut])  # a tag that the page's end cuts
