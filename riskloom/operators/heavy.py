@@ -108,7 +108,7 @@ def heavy_values(df: DataFrame, columns: Sequence[str], top_n: int, counters: in
     if names:
         done.append(top_values(df, names, top_n).select("column", "value", "count", "rank"))
     if not done:
-        return top_values(df.limit(0), list(columns), top_n).select("column", "value", "count", "rank")
+        return df.sparkSession.createDataFrame([], "column string, value string, count long, rank int")
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)

@@ -7,11 +7,12 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.dates import parse_hour
-from riskloom.functions.numbers import flag
-from riskloom.operators import boosting, search
+from riskloom.functions.numbers import flag, sample_hash
+from riskloom.operators import boosting, evaluate, search, validate
 from riskloom.operators.boosting import Params
+from riskloom.plans.catalog.evaluation import _PAIRED as PAIRED_SQL, _metric_row_sql as metric_row_sql
 from riskloom.plans.catalog.registry import query
-from riskloom.plans.catalog.sqltext import oracle, r6
+from riskloom.plans.catalog.sqltext import hashed, oracle, r6
 from riskloom.schema import LABEL, ROW_ID
 from riskloom.sources.transactions import transactions
 
@@ -20,6 +21,7 @@ SEEN = ("amt", "trans_hour", "lat", "long", "city_pop")
 BINS = 16
 POSITIVE_WEIGHT = 4.0
 DEEP = Params(rounds=2, max_depth=3, reg_alpha=0.5, gamma=0.25, min_child_weight=2.0)
+_PLACE_SQL = f"({hashed('trans_num')} % 5)"
 LEAFY = Params(rounds=1, max_depth=0, max_leaves=31, leafwise=True, reg_lambda=0.5)
 
 
@@ -41,12 +43,12 @@ def _score(g: str, h: str, p: Params) -> str:
     return f"({shrunk} * {shrunk} / ({h} + {p.reg_lambda}::DOUBLE))"
 
 
-def _codes() -> str:
-    """Edges at quantiles and, for each row and feature, the number of its bin, 0 for null."""
+def _codes(source: str = "timed") -> str:
+    """Edges at quantiles of ``source`` and, for each row and feature, the number of its bin, 0 for null."""
     edges = " UNION ALL ".join(
         f"""SELECT {j} AS f, list_sort(list_distinct([v[1 + (i * (len(v) - 1)) // {BINS} ] FOR i IN range({BINS + 1})
               IF v[1 + (i * (len(v) - 1)) // {BINS}] < v[len(v)]])) AS e
-            FROM (SELECT list(CAST({c} AS DOUBLE) ORDER BY {c}) FILTER ({c} IS NOT NULL) AS v FROM timed)"""
+            FROM (SELECT list(CAST({c} AS DOUBLE) ORDER BY {c}) FILTER ({c} IS NOT NULL) AS v FROM {source})"""
         for j, c in enumerate(SEEN)
     )
     tall = " UNION ALL ".join(f"SELECT trans_num, {j} AS f, CAST({c} AS DOUBLE) AS x FROM timed" for j, c in enumerate(SEEN))
@@ -114,10 +116,11 @@ def _out(tree: int, splits: str, leaves: str) -> str:
         UNION ALL SELECT {tree}, node, NULL, NULL, NULL, NULL, NULL, NULL, {r6('cover')}, {r6('value')} FROM {leaves}"""
 
 
-def _depthwise_sql(p: Params) -> str:
-    parts, outs, margins = [_codes()], [], "SELECT trans_num, is_fraud, 0::DOUBLE AS m FROM timed"
+def _depthwise(p: Params, source: str = "timed") -> tuple[list[str], list[str], str]:
+    """Steps of the trees that learn from ``source``, the nodes of each tree, and the margins of all rows."""
+    parts, outs, margins = [_codes(source)], [], "SELECT trans_num, is_fraud, 0::DOUBLE AS m FROM timed"
     for t in range(p.rounds):
-        parts.append(_gradients(f"g{t}", margins))
+        parts.append(_gradients(f"g{t}", f"SELECT * FROM ({margins}) WHERE trans_num IN (SELECT trans_num FROM {source})"))
         parts.append(f"t{t}l0 AS (SELECT trans_num, 1 AS node FROM timed)")
         for level in range(p.max_depth):
             parts.append(_best(f"t{t}s{level}", f"t{t}l{level}", f"g{t}", p))
@@ -128,9 +131,23 @@ def _depthwise_sql(p: Params) -> str:
         outs.append(_out(t, f"t{t}all", f"t{t}v"))
         margins = f"""SELECT trans_num, is_fraud, b.m + value AS m FROM ({margins}) b
             JOIN t{t}l{p.max_depth} USING (trans_num) JOIN t{t}v USING (node)"""
+    return parts, outs, margins
+
+
+def _depthwise_sql(p: Params) -> str:
+    parts, outs, _ = _depthwise(p)
     return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(outs)
 
 
+def _scores_sql(p: Params) -> str:
+    """Scores of the rows that the trees did not learn from, in two parts."""
+    parts, _, margins = _depthwise(p, "learned")
+    steps = ",\n".join([f"learned AS (SELECT * FROM timed WHERE {_PLACE_SQL} < 3)", *parts])
+    return f"""WITH {steps}
+        SELECT is_fraud AS label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS pred, {_PLACE_SQL} AS place
+        FROM (SELECT trans_num, is_fraud, 1 / (1 + exp(-m)) AS score FROM ({margins})) WHERE {_PLACE_SQL} >= 3"""
+
+
 def _leafwise_sql(p: Params) -> str:
     parts = [_codes(), _gradients("g", "SELECT trans_num, is_fraud, 0::DOUBLE AS m FROM timed")]
     parts.append("r0 AS (SELECT trans_num, 1 AS node FROM timed)")
@@ -167,6 +184,34 @@ def leafwise_tree_nodes(spark, sf):
     return _grown(spark, sf, LEAFY)
 
 
+@query(
+    "generalisation_model",
+    oracle(
+        f"""SELECT metric, {r6('test')} AS test, {r6('unseen')} AS unseen, {r6('abs(test - unseen)')} AS abs_diff, {r6('d')} AS mean_diff,
+              CASE WHEN d < 0.005 THEN 'excellent' WHEN d < 0.01 THEN 'very good'
+                   WHEN d < 0.02 THEN 'acceptable' ELSE 'significant difference' END AS verdict
+            FROM (SELECT *, avg(abs(test - unseen)) OVER () AS d FROM ({PAIRED_SQL}))""",
+        "timed",
+        extra={
+            "scores_of_model": _scores_sql(DEEP),
+            "model_test": "SELECT label, score, pred FROM scores_of_model WHERE place = 3",
+            "model_unseen": "SELECT label, score, pred FROM scores_of_model WHERE place = 4",
+            "m1": metric_row_sql("model_test"),
+            "m2": metric_row_sql("model_unseen"),
+        },
+    ),
+)
+def generalisation_model(spark, sf):
+    """A boosted model that learns from three fifths of the rows: its metrics on a test fifth against those on an unseen fifth, and
+    the verdict."""
+    rows = seen_rows(spark, sf)
+    rows = rows.withColumn("_place", sample_hash(rows, ROW_ID) % 5)
+    model = boosting.fit(rows.filter("_place < 3"), SEEN, DEEP, ROW_ID, weight=POSITIVE_WEIGHT, max_bins=BINS)
+    scored = boosting.score(model, rows.filter("_place >= 3"), [LABEL, "_place"])
+    parts = scored.select(F.col(LABEL).alias("label"), "score", "pred", F.when(F.col("_place") == 3, "test").otherwise("unseen").alias("part"))
+    return validate.compare_metrics(evaluate.metrics_table(parts, ["part"]), "part", test="test", unseen="unseen")
+
+
 # ---- guided search
 
 _SURFACE = ("amt", "city_pop", "lat")
