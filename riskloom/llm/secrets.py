@@ -1,9 +1,11 @@
-"""Secret scanning: long mixed strings, cleared of false positives by a random forest.
-
-Everything here is DataFrame, SQL and Spark ML code that runs in the JVM. A candidate is a run of 16 or more
-characters of keys and tokens with a digit. Its features are its length, the transitions between classes of
-characters, how much of it a dictionary covers, whether it looks like part of a path, and the words around it. The
-forest is fitted on labelled findings, rows of (text before, candidate, text after, label).
+"""Secret scanning: candidate values, cleared of false positives by a random forest.
+
+Everything here is DataFrame, SQL and Spark ML code that runs in the JVM. Candidates are runs of 16 or more
+characters of keys and tokens with a digit, strings with the prefix of a public token format, and, of any length and
+alphabet, the value behind an assignment, behind a word that speaks for a secret, or before the @ of a URL. Features
+are a candidate's length, the transitions between classes of characters, how much of it a dictionary covers, whether
+it looks like part of a path, and the words around it. The forest is fitted on labelled findings, rows of (text
+before, candidate, text after, label).
 """
 
 from __future__ import annotations
@@ -17,7 +19,25 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import stored
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*+[0-9])[A-Za-z0-9+/_=.-]{16,}+"
+#: Fixed words before a candidate that speak for a secret.
+FOR_WORDS = "token|secret|passw|passwd|passphrase|pwd|api[_ -]?key|apikey|access[_ -]?key|auth|credential|bearer|private|signing|_key|client_key"
+#: Fixed prefixes of public token formats.
+PREFIXES = "gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk[_-]|pk_|rk_|AKIA|ASIA|AIza|npm_|hf_"
+_LONG = r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*+[0-9])[A-Za-z0-9+/_=.-]{16,}+"
+_PREFIXED = rf"(?<![A-Za-z0-9_-])(?:{PREFIXES})[A-Za-z0-9_-]{{8,}}+"
+_IN_URL = r"[A-Za-z][A-Za-z0-9+.-]*+://[^\s:/@\"'`]++:(?=[^\s/@\"'`]++@)"
+_ASSIGNED = r"[A-Za-z_][A-Za-z0-9_.-]*+[\"'`\])]?+\s{0,3}+(?::=|=>|={1,3}+|:)\s{0,3}+(?:(?i:bearer|basic|token)\s++)?+"
+#: Not what is assigned, but another assignment that goes on with a blank or a quote.
+_NESTED = r"[A-Za-z_][A-Za-z0-9_.-]*+[\"'`]?+\s{0,3}+(?::=|=>|={1,3}+|:)[\s\"'`]"
+_NAMED = rf"(?i:[a-z0-9_.-]*?(?:{FOR_WORDS})[a-z0-9_-]*+)\s++(?:(?:is|was)\s++)?+"
+#: In quotes: up to the closing quote, either without = and : or without blanks. Else up to a blank or separator.
+_QUOTED = "|".join(rf"(?<={q})(?:[^{q}\n=:]++(?={q})|[^{q}\s]++(?={q}))" for q in "\"'`")
+_IN_URL_VALUE = r"(?<=:)[^\s/@\"'`]++(?=@)"
+#: Group 1 is what stands before the value; it is empty where the value alone is the candidate.
+CANDIDATE = (
+    rf"{_LONG}|{_PREFIXED}|((?<![A-Za-z0-9_.-])(?:{_IN_URL}|(?:{_ASSIGNED}(?!{_NESTED})|{_NAMED})[\"'`]?+))"
+    rf"(?:{_QUOTED}|{_IN_URL_VALUE}|[^\s\"'`,;&<>|]++)"
+)
 #: Characters of the text before and after a candidate that are searched for neighbouring words.
 NEAR = 60
 THRESHOLD = 0.5
@@ -37,33 +57,47 @@ DICTIONARY = (
     "sql stable start state static store story style summary support system table tag target task team temp template test text "
     "theme thumb time title total trace type update upload user util value version video view web wiki window word xml year"
 ).split()
-#: Fixed words before a candidate that speak for a secret or against it.
-FOR_WORDS = "token|secret|passw|passwd|pwd|api[_ -]?key|apikey|access[_ -]?key|auth|credential|bearer|private|signing|_key|client_key"
+#: Fixed words before a candidate that speak against a secret.
 AGAINST_WORDS = "commit|sha[0-9]*|md5|checksum|digest|hash|uuid|guid|isbn|order|invoice|serial|version|revision|etag|card|phone|build|doi|issue"
 
 #: Labelled findings as templates: text before, kind of value, text after, 1 for a secret.
 LABELLED = (
-    ('token = "', "hex40", '" ', 1), ("token: ", "hex40", "\n", 1), ("api_key='", "hex32", "'", 1), ("TOKEN = \"", "HEX40", "\"!! ", 1),
+    ('auth_token: "', "hex40", '"\n', 1), ("X-Api-Key: ", "hex40", "\n", 1), ("api_key='", "hex32", "'", 1), ("SIGNING_SECRET='", "HEX40", "'\n", 1),
     ("client_secret=", "base64", " ", 1), ('"password": "', "base64", '",', 1), ("export AWS_SECRET_ACCESS_KEY=", "base64", "\n", 1),
     ("Authorization: Bearer ", "base64", " ", 1), ("apikey ", "hex32", " is used", 1), ("secret_key := \"", "hex64", "\"", 1),
     ("the auth token is ", "base64", ", keep it", 1), ("password=", "mixed", ";", 1), ("passwd: ", "mixed", " ", 1),
-    ("private_token=", "hex40", "&x=1", 1), ("credentials: user:", "mixed", "@host", 1), ('access_key = "', "KEY20", '"', 1),
-    ("aws_access_key_id = ", "KEY20", "\n", 1), ("de un token = \"", "hex40", "\" que la", 1), ("und der token = \"", "hex40", "\" ist", 1),
-    ("| word | token = \"", "hex40", "\" | word |", 1),
+    ("private_token=", "hex40", "&x=1", 1), ("postgres://app:", "mixed", "@db.internal/main", 1), ('access_key = "', "KEY20", '"', 1),
+    ("aws_access_key_id = ", "KEY20", "\n", 1), ("my token is ", "hex40", " so there", 1), ("set token to '", "hex40", "'", 1),
+    ("const apiToken = \"", "HEX40", "\";", 1), ("token = '", "hex32", "';", 1), ("SESSION_TOKEN=", "HEX40", "\n", 1), ("secret=\"", "hex40", "\",", 1),
+    ('password = "', "short", '"', 1), ("password: ", "short", "\n", 1), ("my password is ", "short", ".", 1), ("DB_PASSWORD=", "short", "\n", 1),
+    ("pwd: ", "signs", "\n", 1), ('"passwd": "', "signs", '"', 1), ("password=", "signs", " ", 1), ("mysql://root:", "signs", "@10.0.0.1", 1),
+    ("password='", "spaced", "'", 1), ('passphrase = "', "spaced", '"', 1), ('"secret": "', "spaced", '"', 1),
+    ("secret_key=", "phrase", "\n", 1), ('passphrase: "', "phrase", '"', 1), ("PASSWORD='", "phrase", "'", 1), ("password = ", "phrase", "\n", 1),
+    ("api_key: ", "letters", "\n", 1), ("token=", "letters", " ", 1), ("Authorization: Bearer ", "letters", "\n", 1), ("client_secret = '", "letters", "'", 1),
+    ("push with ", "prefixed", " today", 1), ("", "prefixed", "\n", 1), ("GITHUB_TOKEN=", "prefixed", "\n", 1), ("use (", "prefixed", ")", 1),
     ("commit ", "hex40", " fixes it", 0), ("sha1 checksum ", "hex40", " of the file", 0), ("md5: ", "hex32", " ok", 0),
     ("see uuid ", "uuid", " for it", 0), ("id=", "uuid", "&page=2", 0), ("digest sha256:", "hex64", " pulled", 0),
-    ("the number ", "digits", " was drawn", 0), ("card ", "digits", " expired", 0), ("", "digits", "", 0), ("und ", "digits", " der", 0),
+    ("the number ", "digits", " was drawn", 0), ("card ", "digits", " expired", 0), ("", "digits", "", 0), ("account: ", "digits", "\n", 0),
     ("call ", "phone", " now", 0), ("on ", "date", " at noon", 0), ("see ", "path", " for more", 0), ("open ", "path", "\n", 0),
     ("http://", "url", " and", 0), ("visit ", "url", ".", 0), ("from ", "email", "@host.example", 0), ("the ", "words", " file", 0),
     ("token = \"", "words", "\"", 0), ("password: ", "stars", " ", 0), ("api_key=", "stars", "\n", 0), ("ISBN ", "isbn", " is", 0),
     ("version ", "build", " released", 0), ("chunk ", "words", " loaded", 0), ("order ", "digits", " shipped", 0),
-    ("| 12 | ", "digits", " | x |", 0), ("hash ", "hex64", " mined", 0), ("revision ", "hex40", " merged", 0),
+    ("cell,", "digits", ",cell", 0), ("hash ", "hex64", " mined", 0), ("revision ", "hex40", " merged", 0), ("etag: ", "hex32", "\n", 0),
+    ("the token ", "word", " ends it", 0), ("a secret ", "word", " there", 0), ("forgot my password ", "invented", " again", 0), ("private ", "word", ",", 0),
+    ("author: ", "word", "\n", 0), ("authority ", "invented", " said", 0), ("the key is ", "invented", " here", 0), ("token ", "invented", ".", 0),
+    ("note: ", "invented", " and", 0), ("he said: ", "word", " then", 0), ("title: \"", "sentence", "\"", 0), ("said: '", "sentence", "'", 0),
+    ("color = ", "word", "\n", 0), ("name=\"", "invented", "\" ", 0), ("width: ", "number", ";", 0), ("size = ", "number", "\n", 0), ("timeout=", "number", "\n", 0),
+    ("max_tokens = ", "number", ",", 0), ("token_count: ", "number", "\n", 0), ("password = ", "ref", "\n", 0), ("api_key: \"", "ref", "\"", 0),
+    ("token=", "null", "\n", 0), ("secret: ", "null", "\n", 0), ("password_file: ", "path", "\n", 0), ("private_key_path = \"", "path", "\"", 0),
+    ("bearer of ", "invented", " news", 0), ("credentials ", "invented", " were", 0), ("signing ", "invented", " it", 0), ("x = ", "short", "\n", 0),
+    ("user: ", "short", "\n", 0), ("filename = \"", "words", "\"", 0), ("url: https://", "url", "\n", 0), ("class=\"", "words", "\"", 0),
+    ("secret santa was ", "invented", ".", 0), ("a passphrase ", "invented", " is", 0), ("label: ", "phrase", "\n", 0), ("id: ", "hex32", "\n", 0),
 )
 
 FEATURES = (
     "length", "digit_share", "upper_share", "lower_share", "sign_share", "hex_only", "digits_only", "transitions",
     "distinct_share", "longest_letters", "covered", "slashes", "dots", "dashes", "extension", "assigned", "quoted", "for_word",
-    "against_word", "after_url", "followed_by_at",
+    "against_word", "after_url", "followed_by_at", "key_assigned", "prefixed", "reference", "blanks",
 )
 
 
@@ -73,6 +107,7 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     rows = rows.withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(VARIANTS))))
     rows = rows.withColumn("h", F.sha2(F.concat_ws("-", "i", "v"), 256)).withColumn("b", F.base64(F.unhex("h")))
     digits = "translate(h, 'abcdef', '483920')"
+    letters = "translate(h, '0123456789', 'ghirmnopus')"
     word = f"element_at(array({', '.join(repr(w) for w in DICTIONARY)}), 1 + cast(pmod(xxhash64(h, {{}}), {len(DICTIONARY)}) as int))"
     w = [word.format(i) for i in range(4)]
     kinds = {
@@ -88,6 +123,17 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         "email": f"concat({w[0]}, '.', {w[1]}, '.', {w[2]}, 1000 + v)",
         "words": f"concat_ws('-', {w[0]}, {w[1]}, {w[2]}, {w[3]}, v)",
         "stars": "concat('your', '-key-goes-here-', v)", "isbn": f"concat('978-3-16-', left({digits}, 6), '-', pmod(v, 10))",
+        "short": f"concat({w[0]}, cast(1900 + pmod(v * 37, 150) as int))",
+        "signs": f"concat({w[0]}, '!', left({digits}, 2), element_at(array('#', '$', '%', '^', '*'), 1 + pmod(v, 5)), {w[1]}, substr({digits}, 3, 2))",
+        "phrase": f"concat({w[0]}, {w[1]}, {w[2]}, if(pmod(v, 2) = 0, {w[3]}, ''))",
+        "letters": f"left({letters}, 20 + cast(pmod(v, 5) as int) * 4)",
+        "prefixed": f"concat(element_at(array('ghp_', 'glpat-', 'sk_live_', 'npm_', 'xoxb-', 'hf_'), 1 + pmod(v, 6)), initcap(left({letters}, 24)))",
+        "word": w[0], "invented": f"left({letters}, 3 + cast(pmod(v, 8) as int))", 
+        "number": "concat(pmod(v * 97, 5000), element_at(array('', 'px', 'ms', 'kB', '%'), 1 + pmod(v, 5)))",
+        "spaced": f"concat_ws(' ', left({letters}, 4), {w[0]}, concat(left({digits}, 2), '!', left(b, 3)), right({letters}, 2 + cast(pmod(v, 5) as int)))",
+        "sentence": f"concat_ws(' ', {w[0]}, left({letters}, 5), {w[1]}, {w[2]}, right({letters}, 7))",
+        "ref": f"element_at(array(concat('$', '{{', upper({w[0]}), '}}'), concat('os.environ.', {w[0]}), concat('$', upper({w[1]})), concat('get_', {w[2]}, '()')), 1 + pmod(v, 4))",
+        "null": "element_at(array('null', 'None', 'true', 'undefined', '********', '...'), 1 + pmod(v, 6))",
         "build": f"concat('2.', pmod(v, 9), '.', v, '-build.', left({digits}, 8))",
     }
     value = "case kind " + " ".join(f"when '{k}' then {e}" for k, e in kinds.items()) + " end"
@@ -120,7 +166,13 @@ def featured(rows: DataFrame) -> DataFrame:
         "for_word": yes.format(f"{near} rlike '({FOR_WORDS})[^\\\\n]{{0,20}}$' or lower(value) rlike '({FOR_WORDS})[a-z_]*='"),
         "against_word": yes.format(f"{near} rlike '({AGAINST_WORDS})[^\\\\n]{{0,20}}$'"),
         "after_url": yes.format("before rlike '(://|www[.]|[/@])$'"),
-        "followed_by_at": yes.format("after rlike '^@[a-z]'"),
+        "followed_by_at": yes.format("after rlike '^@[a-z0-9]'"),
+        "key_assigned": yes.format(
+            f"{near} rlike '({FOR_WORDS})[a-z0-9_-]*[\"\\'`]?\\\\s*(:=|=>|[:=])\\\\s*[\"\\'`]?$' or lower(value) rlike '^[a-z_]*({FOR_WORDS})[a-z_]*='"
+        ),
+        "prefixed": yes.format(f"value rlike '^({PREFIXES})'"),
+        "reference": yes.format("value rlike '^[$][({A-Za-z]|[(][)]$|^[*.]+$|environ|^(null|none|true|false|undefined|nil)$|^None$'"),
+        "blanks": "cast(length(regexp_replace(value, '[^ ]', '')) as double)",
     }
     return rows.withColumns({n: F.expr(e) for n, e in exprs.items()})
 
@@ -135,13 +187,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, place, start, value, before, after: every candidate of every whole text, places in code points."""
     found = docs.select("doc_id", "text").filter(F.col("text").rlike(CANDIDATE))
     found = found.select(
-        "doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("gaps")
-    )
+        "doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)).alias("pre"), F.split("text", CANDIDATE, -1).alias("gaps"),
+    )
     starts = """aggregate(arrays_zip(gaps, found), named_struct('at', 0L, 'all', cast(array() as array<bigint>)),
         (s, x) -> named_struct('at', s.at + length(x.gaps) + coalesce(length(x.found), 0),
                                'all', concat(s.all, array(s.at + length(x.gaps)))), s -> s.all)"""
-    each = f"""transform(found, (x, i) -> named_struct('place', i, 'value', x, 'before', right(gaps[i], {NEAR}),
-        'after', left(gaps[i + 1], {NEAR}), 'start', starts[i]))"""
+    earlier = f"if(i = 0, '', concat(right(gaps[i - 1], {NEAR}), right(found[i - 1], {NEAR})))"
+    each = f"""transform(found, (x, i) -> named_struct('place', i, 'value', substr(x, 1 + length(pre[i])),
+        'before', right(concat({earlier}, right(gaps[i], {NEAR}), right(pre[i], {NEAR})), {NEAR}),
+        'after', left(gaps[i + 1], {NEAR}), 'start', starts[i] + length(pre[i])))"""
     found = found.withColumn("starts", F.expr(starts)).select("doc_id", F.explode(F.expr(each)).alias("x"))
     return found.select("doc_id", F.col("x.place").cast("long").alias("place"), "x.start", "x.value", "x.before", "x.after")
 
