@@ -41,8 +41,8 @@ SEED = 11
 #: Tokens that one part of the counts holds on average, at most; tokens that a task gathers before it sends them.
 PART_TOKENS, CHUNK_TOKENS = 1_500_000, 2_000_000
 LEAST_PARTS = 48
-#: A word that may be a context is one of at most so many in some task.
-TASK_SHARE = 50_000
+#: Different words that a task counts before it sends their counts.
+COUNTED_WORDS = 1_000_000
 _END = b" "
 _SMALL = 64
 _KEPT = 250_000
@@ -85,8 +85,18 @@ def _unpack(packed: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
 
-def frequent_words(docs: DataFrame) -> DataFrame:
-    """word (hash), n over the training rows (column train), for words that are frequent in some task; and total."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (hash), n over the training rows (column train) for every word; and the total over all rows.
+
+    A task adds up what it reads and sends its counts whenever it holds `COUNTED_WORDS`; Spark sums them. Nothing is
+    left out, so the counts are the same however the rows are split into tasks.
+    """
+
+    def rows(words: Counter, total: int) -> pa.RecordBatch:
+        words.pop(_END, None)
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+        n = pa.array([*words.values(), total], pa.int64())
+        return pa.record_batch([pa.array(np.append(hashed, 0)), n, pa.array([True] * len(words) + [False])], ["word", "n", "is_word"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -97,16 +107,10 @@ def frequent_words(docs: DataFrame) -> DataFrame:
                 total += len(words)
                 if train:
                     counts.update(words)
-            if len(counts) > 1_000_000:
-                least = sum(counts.values()) / TASK_SHARE
-                counts = Counter({w: n for w, n in counts.items() if n >= least})
-        least = sum(counts.values()) / TASK_SHARE
-        kept = {xxhash.xxh64_intdigest(w): n for w, n in counts.items() if n >= least and w != _END}
-        words = np.array(list(kept), np.uint64).view(np.int64)
-        yield pa.record_batch(
-            [pa.array(np.append(words, 0)), pa.array([*kept.values(), total]), pa.array([True] * len(kept) + [False])],
-            ["word", "n", "is_word"],
-        )
+                if len(counts) >= COUNTED_WORDS:
+                    yield rows(counts, total)
+                    counts, total = Counter(), 0
+        yield rows(counts, total)
 
     return docs.mapInArrow(run, "word long, n long, is_word boolean").groupBy("is_word", "word").agg(F.sum("n").alias("n"))
 
@@ -121,7 +125,7 @@ class Layout:
 
 
 def _layout(docs: DataFrame) -> Layout:
-    counts = stored(frequent_words(docs))
+    counts = stored(word_counts(docs))
     total = counts.filter("not is_word").agg(F.sum("n")).first()[0] or 0
     parts = max(LEAST_PARTS, -(-total // PART_TOKENS))
     top = counts.filter("is_word").orderBy(F.desc("n"), "word").limit(OWN_CONTEXTS).collect()

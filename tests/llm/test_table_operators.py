@@ -240,6 +240,26 @@ def test_model_odd_rows(spark):
     assert lm.score(docs.limit(0), never).count() == 0
 
 
+def test_model_scores_do_not_follow_the_partitions(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    held = hash_fold("doc_id", 5, 1)
+    first = {r.doc_id: (r.score, r.base_score) for r in lm.score(docs.repartition(1), held).collect()}
+    monkeypatch.setattr(lm, "COUNTED_WORDS", 500)  # counts are sent in many pieces
+    for n in (4, 40):
+        again = {r.doc_id: (r.score, r.base_score) for r in lm.score(docs.repartition(n), held).collect()}
+        assert again.keys() == first.keys()
+        assert all(again[i] == pytest.approx(first[i], rel=1e-5) for i in first)
+
+
+def test_model_counts_words_exactly(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "cast(text as binary) text")
+    docs = docs.withColumn("train", ~hash_fold("doc_id", 5, 1)).repartition(7)
+    got = {r.word: r.n for r in lm.word_counts(docs).filter("is_word").collect()}
+    want = Counter(w for r in docs.filter("train").collect() for w in lm.tokens_of(r.text)[:-1])
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    assert got == {signed(xxhash.xxh64_intdigest(w)): n for w, n in want.items()}
+
+
 # ---- secrets
 
 
