@@ -82,10 +82,13 @@ def profile_of(states: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75)) ->
 
 
 class ProfileStore:
-    """States of the Parquet files of a folder, kept below ``path``. Files never change once they are written."""
+    """States of the Parquet files of a folder, kept below ``path``. Files never change once they are written.
 
-    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str] | None = None):
-        self.spark, self.path, self.columns = spark, path, columns
+    With ``folders`` a source is a folder below that one, with all its files, which many tasks may have written.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str] | None = None, folders: bool = False):
+        self.spark, self.path, self.columns, self.folders = spark, path, columns, folders
 
     def states(self) -> DataFrame | None:
         from pyspark.errors import AnalysisException
@@ -98,15 +101,22 @@ class ProfileStore:
             return None
 
     def refresh(self, folder: str) -> int:
-        """Reads the files that have no state yet and adds theirs; returns how many. Two refreshes at once must not run."""
-        files = set(self.spark.read.parquet(folder).inputFiles())
+        """Reads the sources that have no state yet and adds theirs; returns how many. Two refreshes at once must not run."""
+        reader = self.spark.read.option("recursiveFileLookup", str(self.folders).lower())
+        found: dict[str, list[str]] = {}
+        for file in reader.parquet(folder).inputFiles():
+            found.setdefault(file.rsplit("/", 1)[0] if self.folders else file, []).append(file)
         known = self.states()
         if known is not None:
-            files -= {r[_PART] for r in known.select(_PART).distinct().collect()}
-        if files:
-            rows = self.spark.read.parquet(*sorted(files))
-            file_states(rows, self.columns).coalesce(1).write.mode("append").parquet(self.path)
-        return len(files)
+            for r in known.select(_PART).distinct().collect():
+                found.pop(r[_PART], None)
+        if found:
+            rows = self.spark.read.parquet(*sorted(f for own in found.values() for f in own))
+            columns = list(self.columns or numeric_columns(rows))
+            source = F.regexp_replace(F.input_file_name(), "/[^/]*$", "") if self.folders else F.input_file_name()
+            states = file_states(rows.select(source.alias("_from"), *columns), columns, "_from")
+            states.coalesce(1).write.mode("append").parquet(self.path)
+        return len(found)
 
     def profile(self) -> DataFrame:
         """The profile of all files with a state."""

@@ -75,14 +75,14 @@ RANK_ERROR, DISTINCT_ERROR = 0.01, 0.06
     ),
 )
 def profile_merged(spark, sf):
-    """lineitem in three files, the third added after the first two were profiled: moments of the merged states, and whether the
+    """lineitem in three folders, the third added after the first two were profiled: moments of the merged states, and whether the
     sketches keep their error bounds against exact counts of the whole table."""
     rows = read_table(spark, sf, "lineitem").select(*[F.col(c).cast("double").alias(c) for c in _PROFILED], "l_orderkey")
     folder, path = scratch_path(spark, "lineitem-parts"), scratch_path(spark, "profile-states")
-    store = mergeable.ProfileStore(spark, path, _PROFILED)
+    store = mergeable.ProfileStore(spark, path, _PROFILED, folders=True)
     for part in range(3):
         own = rows.filter(F.col("l_orderkey") % 3 == part).drop("l_orderkey")
-        own.coalesce(1).write.mode("append").parquet(folder)
+        own.write.parquet(f"{folder}/{part}")
         if part:
             store.refresh(folder)
     found = write_table(store.profile(), "profile")

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from riskloom.plans.catalog import incremental as catalog
 from riskloom.operators import cleanse, encode, heavy, mergeable, permutation, prepare, sampling
 from riskloom.operators.boosting import Params, fit
 from riskloom.session import artefact, drop_artefact
@@ -83,6 +84,28 @@ def test_merged_states_equal_the_whole(spark, tmp_path):
     assert stored["x"].mean == pytest.approx(x.mean) and stored["x"].std == pytest.approx(x.std)
 
 
+def test_a_folder_of_several_files_is_one_source(spark, tmp_path):
+    store, folder = mergeable.ProfileStore(spark, str(tmp_path / "states"), ["x"], folders=True), str(tmp_path / "rows")
+    for part in range(2):
+        spark.range(part * 1000, part * 1000 + 1000, 1, 3).select(F.col("id").cast("double").alias("x")).write.parquet(f"{folder}/{part}")
+        assert store.refresh(folder) == 1 and store.refresh(folder) == 0
+    assert store.states().select("source").distinct().count() == 2
+    row = store.profile().first()
+    assert (row.rows, row.min, row.max, row["mean"]) == (2000, 0.0, 1999.0, 999.5)
+
+
+def test_profile_merged_writes_its_parts_with_many_tasks(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name, kept=False: made.append(f"{tmp_path}/{name}") or made[-1])
+    rows = spark.range(0, 6000, 1, 4).selectExpr(
+        "cast(id % 50 as double) l_quantity", "id / 7 l_extendedprice", "0.1D l_discount", "id % 90 l_partkey", "id l_orderkey"
+    )
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert {r.sources for r in catalog.profile_merged(spark, str(tmp_path)).collect()} == {3}
+    parts = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/lineitem-parts").inputFiles()
+    assert len(parts) > 3
+
+
 def test_profile_of_nulls_and_nothing(spark):
     df = spark.createDataFrame([(None, 1), (None, 2)], "x double, part int")
     row = mergeable.profile_of(mergeable.file_states(df, ["x"], by="part")).first()
