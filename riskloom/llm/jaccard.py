@@ -1,9 +1,10 @@
-"""Near-duplicates by the exact Jaccard similarity of five-word shingles.
+"""Near-duplicates by SimHash, confirmed by the exact Jaccard similarity of five-word shingles.
 
-Texts with the same shingles are one class with a count. Min-hash signatures draw candidates: BANDS keys of BAND_ROWS
-minima each; a pair at the threshold of 0.8 shares none of them in (1 - 0.8^4)^32 = 5e-8 of all cases, and less above.
-Fingerprints of 64 bits cannot serve here: pairs above the threshold differ by up to 17 of them. Every link is
-confirmed on the whole sets; a shingle is known by 64 bits of hash. Before that, sizes and sketches drop pairs that
+Texts with the same shingles are one class with a count. SimHash draws the first candidates, by the covering masks of
+`simhash` over fingerprints of the same shingles. Pairs above the threshold of 0.8 differ by up to 17 of 64 bits, more than
+masks can cover, so min-hash signatures find what the fingerprints leave apart: BANDS keys of BAND_ROWS minima each; a pair
+at the threshold shares none of them in (1 - 0.8^4)^32 = 5e-8 of all cases, and less above. Every link is confirmed on
+the whole sets; a shingle is known by 64 bits of hash. Before that, sizes and sketches drop pairs that
 cannot reach the threshold: a sketch has a bit for the parity of the shingles that fall on it, so two sets differ in at
 least as many shingles as their sketches in bits. This filter loses no pair.
 
@@ -19,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import simhash
 from riskloom.llm.common import per_text, stored
 from riskloom.llm.components import components
 
@@ -94,16 +96,17 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame) -> DataFrame:
-    """doc_id, node, n (shingles), keys, bits of every whole text."""
+    """doc_id, node, n (shingles), keys, bits, fp (SimHash) of every whole text."""
 
     def work(doc_ids: list, texts: list) -> dict:
         sets = [shingles(t) for t in texts]
         return {
             "doc_id": doc_ids, "node": [node_of(s) for s in sets], "n": [len(s) for s in sets],
             "keys": [band_keys(s) if len(s) else [] for s in sets], "bits": [sketch(s) for s in sets],
+            "fp": [int.from_bytes(simhash.fingerprint(t, SHINGLE_WORDS), "big", signed=True) for t in texts],
         }
 
-    schema = "doc_id long, node long, n long, keys array<long>, bits array<long>"
+    schema = "doc_id long, node long, n long, keys array<long>, bits array<long>, fp long"
     return per_text(rows, ["doc_id", "text"], schema, work, forget)
 
 
@@ -128,6 +131,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(f"{shared} >= {SIMILARITY}D * (size(x) + size(y) - {shared})").select("a", "b")
 
 
+def _fingerprint_pairs(distinct: DataFrame) -> DataFrame:
+    """Pairs a, b of nodes that connect all whose fingerprints link; equal fingerprints through their smallest node."""
+    of_fp = stored(distinct.groupBy("fp").agg(F.min("node").alias("id")))
+    same = distinct.join(of_fp, "fp").filter("node <> id").select(F.col("node").alias("a"), F.col("id").alias("b"))
+    pairs = simhash.links(of_fp).union(same)
+    return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _apart(groups: DataFrame, edges: DataFrame) -> DataFrame:
     """The buckets that still hold several components, with the component of each row."""
     rows = groups.drop("component").join(components(edges), "node", "left")
@@ -149,8 +160,11 @@ def links(found: DataFrame, rows: DataFrame, first: DataFrame) -> DataFrame:
     groups = distinct.select("node", F.explode("keys").alias("key"))
     groups = groups.withColumn("members", F.expr("count(*) over (partition by key)")).filter("members > 1").drop("members")
     groups = stored(groups.join(distinct.select("node", "n", "bits"), "node").withColumn("component", F.col("node")))
-    sets = _sets(rows, first, groups.select("node").distinct())
-    edges, left = groups.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), groups
+    near = _fingerprint_pairs(distinct)
+    wanted = groups.select("node").union(near.select("a")).union(near.select("b"))
+    sets = _sets(rows, first, wanted.distinct())
+    edges = stored(_confirmed(near, sets))
+    left = _apart(groups, edges)
     row = "struct(node, n, component, bits)"
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     for k in range(ROUNDS):
