@@ -399,3 +399,19 @@ def test_near_duplicate_stage_of_chains_and_odd_rows(spark):
     rows += [(None, "one two"), (None, None)]
     got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0) for r in got) == [0, 0, 10, 30, 32, 34, 40]
+
+
+def test_near_duplicate_stage_draws_candidates_by_fingerprints(spark, monkeypatch):
+    rows = [(10, 0), (11, 0b111), (12, 0b111111), (13, 0b111111), (14, (1 << 40) - 1)]
+    near = jaccard._fingerprint_pairs(spark.createDataFrame(rows, "node long, fp long"))
+    assert {(r.node, r.component) for r in components.components(near).collect()} == {(n, 10) for n in (10, 11, 12, 13)}
+
+    class Reached(Exception):
+        pass
+
+    def reached(found):
+        raise Reached
+
+    monkeypatch.setattr(simhash, "links", reached)
+    with pytest.raises(Reached):
+        jaccard.keep_one(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g")], "doc_id long, text string"))
