@@ -1,5 +1,7 @@
 import pytest
-from riskloom.operators import boosting, search
+from pyspark.sql import functions as F
+from riskloom.operators import boosting, model, search
+from riskloom.plans import flows
 from riskloom.plans.catalog import learning
 
 SF = "/root/testdata/sf0.001"
@@ -24,3 +26,37 @@ def test_ranges_are_those_of_the_search():
     }
     assert search.SPACE["rounds"].from_unit(0.999) == 500 and search.SPACE["max_depth"].from_unit(0.0) == 3
     assert search.SPACE["learning_rate"].from_unit(0.5) == pytest.approx((0.01 * 0.3) ** 0.5)
+
+
+def test_training_text_is_cleaned_on_all_cores(spark, tmp_path, monkeypatch):
+    """A small events file is one partition; the table that is cleaned from it must not be."""
+    ids = spark.range(0, 400, 1, 1)
+    ids.select(
+        F.col("id").alias("event_id"), F.expr("cast('2024-01-01 00:00:00' as timestamp_ntz) + make_interval(0, 0, 0, 0, cast(id as int))").alias("ts"),
+        (F.col("id") % 30).alias("user_id"), F.expr("if(id % 3 = 0, 'error', 'buy')").alias("event_type"), F.expr("cast(id as double)").alias("value"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    people = spark.range(0, 30, 1, 1).selectExpr("id AS c_custkey", "cast(id % 5 AS int) AS c_nationkey", "'M' AS c_mktsegment")
+    people.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(0, 5, 1, 1).selectExpr("cast(id AS int) AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    files = {}
+
+    def write_table(df, name, write=flows.write_table):
+        table = write(df, name)
+        files[name] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(flows, "write_table", write_table)
+    rows = learning.training_table(spark, str(tmp_path))
+    assert files["cleaned"] == spark.sparkContext.defaultParallelism
+    # event 0 comes twice, as all events whose number 200 divides; copies and illegal places are dropped again
+    assert rows.count() == rows.select("trans_num").distinct().count() == 399
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark, monkeypatch):
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id % 17 AS a", "id % 101 AS b", "cast(id % 17 + id % 101 > 60 AS int) AS is_fraud")
+    build = lambda: model.random_forest(numTrees=5, maxDepth=8, minInstancesPerNode=5)
+    kept = model.fit(build(), rows, ["a", "b"], balanced=True).stages[-1]
+    monkeypatch.setattr(model, "NODE_IDS", 0)
+    walked = model.fit(build(), rows, ["a", "b"], balanced=True).stages[-1]
+    assert kept.getCacheNodeIds() and not walked.getCacheNodeIds()
+    assert kept.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
