@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -27,6 +27,8 @@ CACHE_CHUNKS = 120_000
 _BITS = 20
 #: In chunks between spaces: where white space meets white space, here or at the next space.
 _MEETS = re.compile(r"\A\Z|\A\s|\s\Z|\s\s|[\x1c-\x1f]")
+#: Chunks of letters, and marks behind them: a piece each. Only blocks in which every character is a letter or a mark.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,8 +98,10 @@ class Coder:
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.apart: dict[int, bool] = {}
+        # what is remembered are tuples of plain values: unlike lists, the garbage collector need not visit them again
         self.chunks = _Known(self._after_space, remember)
-        self.known = _Known(lambda x: self.piece(x.encode()), remember)
+        self.written = _Known(self._write_after_space, remember)
+        self.known = _Known(lambda x: tuple(self.piece(x.encode())), remember)
         self.names = {i: str(i) for i in self.bytes_of}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
@@ -142,8 +146,8 @@ class Coder:
 
     def extend(self, data: bytes, last: list[int], start: int) -> None:
         """Appends to `last` the last token of each prefix of `data` that ends after `start`."""
-        base = max(0, start - self.longest + 1)
-        text = data[base:].decode("latin-1")
+        base = max(0, start - self.longest + 1) if start else 0
+        text = data[base:].decode("latin-1") if base else data.decode("latin-1")
         known, single, add, done = self.apart.get, self.single, last.append, start - base
         for end, (size, token) in self.suffixes.iter(text):
             if end >= done:
@@ -192,12 +196,29 @@ class Coder:
         """Ids of a text, piece by piece."""
         return list(chain.from_iterable(map(self.known.__getitem__, self.pieces.findall(text))))
 
-    def _after_space(self, text: str) -> list[int]:
-        if text.isascii() and text.isalpha():  # one piece
-            return self.piece((" " + text).encode())
+    def _after_space(self, text: str) -> tuple[int, ...]:
+        word = _WORD.fullmatch(text)
+        if word:
+            letters, marks = word.groups()
+            if not marks:
+                return tuple(self.piece((" " + letters).encode()))
+            return self.chunks[letters] + self.known[marks]
         if _MEETS.search(text):
             raise _Meets
-        return self.chunk(" " + text)
+        return tuple(self.chunk(" " + text))
+
+    def _write(self, ids: Sequence[int]) -> tuple[str, bytes]:
+        return self.named(ids), self.decode(ids)
+
+    def _write_after_space(self, text: str) -> tuple[str, bytes]:
+        word = _WORD.fullmatch(text)
+        if word:
+            letters, marks = word.groups()
+            if not marks:
+                return self._write(self.piece((" " + letters).encode()))
+            (names, data), ids = self.written[letters], self.known[marks]
+            return f"{names},{self.named(ids)}", data + self.decode(ids)
+        return self._write(self._after_space(text))
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text.
@@ -211,17 +232,34 @@ class Coder:
         except _Meets:
             return self.chunk(text)
 
+    def write(self, text: str) -> tuple[str, bytes]:
+        """The ids of a whole text, as `named`, and what they decode to.
+
+        Both follow chunk by chunk, so that a repeated chunk is encoded, named and decoded once.
+        """
+        first, *rest = text.split(" ")
+        try:
+            parts = [*map(self.written.__getitem__, rest)]
+        except _Meets:
+            return self._write(self.chunk(text))
+        if first:
+            parts.insert(0, self._write(self.chunk(first)))
+        if not parts:
+            return "", b""
+        names, data = zip(*parts, strict=True)
+        return ",".join(names), b"".join(data)
+
     def forget(self) -> None:
         """Frees what was remembered of texts."""
-        for known in (self.chunks, self.known):
+        for known in (self.chunks, self.written, self.known):
             known.clear()
             known.old = {}
         self.apart.clear()
 
-    def named(self, ids: list[int]) -> str:
+    def named(self, ids: Sequence[int]) -> str:
         return ",".join(map(self.names.__getitem__, ids))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -257,10 +295,10 @@ def digest_texts(docs: DataFrame, path: str, pattern: str, remember: int = 400_0
         tool = coder(path, pattern, remember)
         out: dict[str, list] = {"doc_id": doc_ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for text in texts:
-            ids = tool.encode(text or "")
-            out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(tool.named(ids).encode()).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(tool.decode(ids)).hexdigest())
+            names, data = tool.write(text or "")
+            out["n_tokens"].append(names.count(",") + 1 if names else 0)
+            out["ids_sha256"].append(hashlib.sha256(names.encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
         return out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
