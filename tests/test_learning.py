@@ -20,6 +20,22 @@ def test_final_model_no_better_than_chance_is_reported(spark, monkeypatch):
     assert row.ranks_well == 0 and row.test_rows > 0
 
 
+def test_study_grows_all_rounds_that_were_drawn(spark, tmp_path, monkeypatch):
+    """Draws and the final fit were cut at 12 and at 60 rounds, and most draws dropped after 3 or 6."""
+    rows = spark.range(0, 600, 1, 1).selectExpr(
+        "id AS trans_num", "cast(pmod(hash(id), 10) < id % 5 AS int) AS is_fraud", "id % 5 AS a", "id % 37 AS b", "'train' AS split"
+    )
+    monkeypatch.setattr(learning, "training_parts", lambda spark, sf: (rows, None))
+    monkeypatch.setattr(learning, "TRIALS", 3)
+    monkeypatch.setitem(search.SPACE, "rounds", search.Range(65, 75, step=5))
+    study = learning.trial_table(spark, str(tmp_path)).collect()
+    assert len(study) == 3 and all(r.ended == "rounds" and r.rounds_used == r.params_rounds for r in study)
+    final = learning.final_model(spark, str(tmp_path))
+    assert len(final.history) == final.params.rounds >= 65
+    checks = learning.tune_trials(spark, str(tmp_path)).collect()
+    assert all((r.scored, r.in_range, r.within_rung) == (1, 1, 1) for r in checks)
+
+
 def test_ranges_are_those_of_the_search():
     assert set(search.SPACE) == {
         "learning_rate", "max_depth", "rounds", "min_child_weight", "subsample", "colsample", "gamma", "reg_alpha", "reg_lambda",
